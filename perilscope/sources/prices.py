@@ -28,16 +28,11 @@ def annual_averages(series: DataFrame, cutoffs: Cutoffs = DEFAULT_CUTOFFS) -> Da
 
 def with_deflator(averages: DataFrame, cutoffs: Cutoffs = DEFAULT_CUTOFFS) -> DataFrame:
     """Base-year index over each year's index; the job fails when the base year is absent."""
-    base = averages.agg(F.max(F.when(F.col("year") == cutoffs.base_year, F.col("cpi_annual_avg"))).alias("_base"))
-    base = base.select(
-        F.when(F.col("_base").isNotNull(), F.col("_base"))
-        .otherwise(F.raise_error(F.lit(f"no price index for base year {cutoffs.base_year}")).cast("double"))
-        .alias("_base")
-    )
-    # The base side is the single row of a global aggregate.
-    return averages.join(F.broadcast(base)).select(
+    base = F.max(F.when(F.col("year") == cutoffs.base_year, F.col("cpi_annual_avg")))
+    missing = F.raise_error(F.lit(f"no price index for base year {cutoffs.base_year}")).cast("double")
+    return averages.select(
         "year",
         "cpi_annual_avg",
         F.lit(cutoffs.base_year).cast("bigint").alias("cpi_base_year"),
-        (F.col("_base") / F.col("cpi_annual_avg")).alias("deflator"),
+        (F.coalesce(averages.agg(base).scalar(), missing) / F.col("cpi_annual_avg")).alias("deflator"),
     )
