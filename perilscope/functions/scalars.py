@@ -12,6 +12,8 @@ from perilscope.vocab import COUNTY_SUFFIXES, MONTHS
 # Two-digit years from this one on belong to the twentieth century.
 CENTURY_PIVOT = 69
 
+EVENT_TIME = "d-MMM-yyyy HH:mm:ss"
+
 
 def event_key(event_id: Column, year: Column) -> Column:
     """Surrogate key; NULL when either part is."""
@@ -20,11 +22,11 @@ def event_key(event_id: Column, year: Column) -> Column:
 
 def event_timestamp(text: Column, strict: bool = False) -> Column:
     """``28-APR-97 14:45:00`` as a timestamp, two-digit years read as 1969-2068."""
-    year = F.regexp_extract(text, r"^\s*\d{1,2}-[A-Za-z]{3}-(\d{2})\s", 1)
-    century = F.when(year >= F.lit(str(CENTURY_PIVOT)), F.lit("19")).otherwise(F.lit("20"))
-    full = F.regexp_replace(F.trim(text), F.lit(r"-(\d{2})\s"), F.concat(F.lit("-"), century, F.lit("$1 ")))
-    parse = F.to_timestamp if strict else F.try_to_timestamp
-    return parse(full, "d-MMM-yyyy HH:mm:ss" if strict else F.lit("d-MMM-yyyy HH:mm:ss"))
+    dash = F.lit("-")
+    day, month, rest = (F.split_part(F.trim(text), dash, F.lit(i)) for i in (1, 2, 3))
+    century = F.when(rest >= F.lit(str(CENTURY_PIVOT)), F.lit("19")).otherwise(F.lit("20"))
+    full = F.concat(day, dash, month, dash, century, rest)
+    return F.to_timestamp(full, EVENT_TIME) if strict else F.try_to_timestamp(full, F.lit(EVENT_TIME))
 
 
 def decade(year: Column) -> Column:

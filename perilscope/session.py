@@ -24,6 +24,7 @@ def build_session(app: str = "perilscope", cores: int | None = None, memory: str
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in RESULT_SETTINGS.items():
         builder = builder.config(key, value)
@@ -42,6 +43,15 @@ def shuffle_width(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 1)
 
 
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer splits than the session has cores, e.g. one small single-block file.
+
+    A large table already has more splits than cores and is returned as it is: no shuffle is added.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder the cluster names; only an unset local run gets a folder of its own."""
     context = spark.sparkContext

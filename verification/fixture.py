@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perilscope.plans import enrich, staging
-from perilscope.session import prepare
+from perilscope.session import prepare, spread_if_narrow
 from perilscope.sources.events import conform
 from perilscope.sources.prices import with_deflator
 from perilscope.sources.seeds import fixed_rows
@@ -21,18 +21,13 @@ GROUP_OF_TYPE = {"ECONOMY": "WIND", "SMALL": "HAIL", "LARGE": "FLOOD", "MEDIUM":
 DEADLY_FROM = {"STANDARD": 40, "MEDIUM": 44, "LARGE": 46, "SMALL": 50}
 DEADLY_DEFAULT = 48
 PRICE_INDEX = {1995: 152.4, 1996: 156.9, 1997: 160.5, 1998: 163.0, 1999: 166.6, 2000: 172.2}
+LINE_COLUMNS = """l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_returnflag
+l_shipdate""".split()
 FIXTURE_REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepare(spark)
-    line, orders, customer, nation, part = (
-        table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "nation", "part")
-    )
+def raw_events(line: DataFrame, orders: DataFrame, customer: DataFrame, nation: DataFrame, part: DataFrame) -> DataFrame:
+    line = spread_if_narrow(line.select(*LINE_COLUMNS))
     joined = (
         line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
@@ -93,8 +88,7 @@ def groups(spark: SparkSession) -> DataFrame:
     return fixed_rows(spark, GROUP_OF_TYPE.items(), TYPE_GROUPS)
 
 
-def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+def regions(nation: DataFrame, region: DataFrame) -> DataFrame:
     return (
         nation.filter(F.col("n_nationkey") != 23)
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -106,9 +100,8 @@ def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_population(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_population(customer: DataFrame, nation: DataFrame) -> DataFrame:
     """Customers per (nation, segment), plus one repeated key."""
-    customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
     people = customer.groupBy("c_nationkey", "c_mktsegment").agg(F.count(F.lit(1)).alias("people"))
     people = people.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     repeated = people.filter((F.col("n_nationkey") == 0) & (F.col("c_mktsegment") == "BUILDING"))
@@ -124,41 +117,43 @@ def raw_population(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@dataclass(frozen=True)
 class Fixture:
-    """Lazily built inputs of one data folder."""
+    """Lazily built inputs of one data folder; each table is opened once."""
 
-    spark: SparkSession
-    sf_dir: str
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = prepare(spark)
+        self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
-    @property
+    def table(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
+
+    @cached_property
     def raw(self) -> DataFrame:
-        return raw_events(self.spark, self.sf_dir)
+        return raw_events(*[self.table(t) for t in ("lineitem", "orders", "customer", "nation", "part")])
 
-    @property
+    @cached_property
     def staged(self) -> DataFrame:
         return staging.stage_events(self.raw, CUTOFFS)
 
-    @property
+    @cached_property
     def cpi(self) -> DataFrame:
         return staging.stage_cpi(raw_prices(self.spark))
 
-    @property
+    @cached_property
     def population(self) -> DataFrame:
-        return staging.stage_population(raw_population(self.spark, self.sf_dir))
+        return staging.stage_population(raw_population(self.table("customer"), self.table("nation")))
 
-    @property
+    @cached_property
     def regions(self) -> DataFrame:
-        return regions(self.spark, self.sf_dir)
+        return regions(self.table("nation"), self.table("region"))
 
-    @property
+    @cached_property
     def groups(self) -> DataFrame:
         return groups(self.spark)
 
-    @property
+    @cached_property
     def enriched(self) -> DataFrame:
         return enrich.enrich_events(self.staged, self.groups, self.cpi, self.regions, self.population)
-
-    def table(self, name: str) -> DataFrame:
-        prepare(self.spark)
-        return table(self.spark, self.sf_dir, name)

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from verification import relational
+from verification import relational, statistics
 from verification.relational import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "relational"]
+__all__ = ["ORACLES", "QUERIES", "relational", "statistics"]
