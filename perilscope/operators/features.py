@@ -1,16 +1,126 @@
-"""Model features as plain columns: labels, one-hot, lags, encodings, weights, scaling."""
+"""Model features as plain columns: labels, one-hot, lags, encodings, weights, imputation."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from perilscope.functions.scalars import lookup, month_number, safe_ratio, tornado_scale
 from perilscope.operators.joins import broadcast_if_small
+from perilscope.operators.prefix import quantile_value
+from perilscope.operators.profile import mean_by
+from perilscope.vocab import EVENT_GROUPS, REGIONS
 
 LAGS = ("lag_event_count", "lag_deaths", "lag_damage")
+CALENDAR = ("decade", "event_month")
+MAGNITUDE_SENTINEL = -1.0
+DANGER_RANGE = 4.0
+
+
+def fatal_label(deaths: Column) -> Column:
+    return (deaths > 0).cast("double")
 
 
 def attach_lags(events: DataFrame, lags: DataFrame) -> DataFrame:
     """Previous-year totals of the event's state; 0 where there are none."""
     joined = events.join(broadcast_if_small(lags), ["state", "event_year"], "left")
     return joined.withColumns({c: F.coalesce(c, F.lit(0)) for c in LAGS})
+
+
+def one_hot_names(column: str, vocabulary: Sequence[str]) -> list[str]:
+    return [f"{column}_{value}".replace(" ", "_") for value in vocabulary]
+
+
+def one_hot(df: DataFrame, column: str, vocabulary: Sequence[str]) -> DataFrame:
+    """One 0/1 column per known value; NULL and unknown values are all zero."""
+    names = one_hot_names(column, vocabulary)
+    return df.withColumns(
+        {name: F.when(F.col(column) == value, 1.0).otherwise(0.0) for name, value in zip(names, vocabulary)}
+    )
+
+
+def feature_names(
+    numeric: Sequence[str] = (*CALENDAR, *LAGS),
+    groups: Sequence[str] = EVENT_GROUPS,
+    regions: Sequence[str] = REGIONS,
+) -> list[str]:
+    return [*numeric, *one_hot_names("event_type_group", groups), *one_hot_names("region", regions)]
+
+
+def align(df: DataFrame, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """Feature columns in the given order; absent ones are 0."""
+    present = set(df.columns)
+    return df.select(
+        *keep, *[F.col(c).cast("double").alias(c) if c in present else F.lit(0.0).alias(c) for c in names]
+    )
+
+
+def assemble(df: DataFrame, names: Sequence[str], out: str = "features") -> DataFrame:
+    return VectorAssembler(inputCols=list(names), outputCol=out).transform(df)
+
+
+def split_by_year(df: DataFrame, last_train_year: int, year: str = "event_year") -> tuple[DataFrame, DataFrame]:
+    """Train up to and including the year, test strictly after it."""
+    return df.filter(F.col(year) <= last_train_year), df.filter(F.col(year) > last_train_year)
+
+
+def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
+    """n / (classes x class size), as column; one tiny aggregate is joined."""
+    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    total = sizes.agg(F.sum("_n")).scalar()
+    classes = sizes.agg(F.count(F.lit(1))).scalar()
+    weights = sizes.select(label, safe_ratio(total, classes * F.col("_n")).alias(out))
+    return df.join(broadcast_if_small(weights), label, "left")
+
+
+def positive_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
+    """Positives weigh as much as all negatives together."""
+    ratio = df.agg(safe_ratio(F.count_if(F.col(label) == 0), F.count_if(F.col(label) == 1))).scalar()
+    return df.withColumn(out, F.when(F.col(label) == 1, ratio).otherwise(1.0))
+
+
+def danger_weights(df: DataFrame, category: str, label: str, out: str = "weight") -> DataFrame:
+    """Positives: odds against the label, times 1 to 5 by the category's own rate. Negatives: 1."""
+    rates = mean_by(df, category, F.col(label), "_rate")
+    low, high = rates.agg(F.min("_rate")).scalar(), rates.agg(F.max("_rate")).scalar()
+    share = df.agg(safe_ratio(F.sum(F.col(label).cast("bigint")), F.count(F.lit(1)))).scalar()
+    spread = F.try_divide(F.col("_rate") - low, high - low)
+    factors = rates.select(category, (1 + DANGER_RANGE * spread).alias("_factor"))
+    joined = df.join(broadcast_if_small(factors.filter(F.col(category).isNotNull())), category, "left")
+    positive = F.try_divide(1 - share, share) * F.coalesce("_factor", F.lit(1.0))
+    return joined.withColumn(out, F.when(F.col(label) == 1, positive).otherwise(1.0)).drop("_factor")
+
+
+def target_encode(train: DataFrame, df: DataFrame, columns: dict[str, str], label: str) -> DataFrame:
+    """Training rate per category value; values unseen in training get the overall rate."""
+    overall = train.agg(safe_ratio(F.sum(F.col(label).cast("bigint")), F.count(F.lit(1)))).scalar()
+    for column, out in columns.items():
+        rates = mean_by(train.filter(F.col(column).isNotNull()), column, F.col(label), out)
+        df = df.join(broadcast_if_small(rates), column, "left").withColumn(out, F.coalesce(out, overall))
+    return df
+
+
+def impute(df: DataFrame, density_median: float | None = None) -> DataFrame:
+    """Median density, scale -1, month 0; missing magnitude becomes a sentinel below its range plus a flag."""
+    median = density_median if density_median is not None else quantile_value(df, "population_density", 0.5)
+    return df.withColumns(
+        {
+            "fscale_num": tornado_scale(F.col("tornado_f_scale")),
+            "month_num": month_number(F.col("event_month")),
+            "population_density": F.coalesce("population_density", F.lit(median)),
+            "magnitude_missing": F.col("magnitude").isNull().cast("int"),
+            "magnitude": F.coalesce("magnitude", F.lit(MAGNITUDE_SENTINEL)),
+        }
+    )
+
+
+def class_codes(tiers: Sequence[str]) -> dict[str, int]:
+    """Class numbers in alphabetical order."""
+    return {tier: i for i, tier in enumerate(sorted(tiers))}
+
+
+def encode_class(tier: Column, tiers: Sequence[str]) -> Column:
+    return lookup(tier, class_codes(tiers)).cast("double")

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from verification import relational, statistics
+from verification import modelling, relational, statistics
 from verification.relational import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "relational", "statistics"]
+__all__ = ["ORACLES", "QUERIES", "modelling", "relational", "statistics"]
