@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from perilscope.functions.scalars import hash_fraction
 from perilscope.operators.prefix import quantile_value
 from perilscope.operators.scaling import fit_scaling, scale
+from perilscope.session import cut_lineage
 
 TREES = 100
 BAG = 256
@@ -122,9 +123,10 @@ def score_anomalies(
     """log1p, standardise, grow, score and flag the lowest share. ``keys`` identify a row."""
     inner = [f"_{c}" for c in features]
     logged = df.withColumns({i: F.log1p(F.col(c).cast("double")) for i, c in zip(inner, features)})
+    logged = cut_lineage(logged)
     ready = scale(logged, fit_scaling(logged, inner))
     nodes, size = grow_forest(ready, inner, keys, trees, seed=seed)
-    scored = score_forest(ready, nodes, inner, size, "anomaly_raw_score").drop(*inner)
+    scored = cut_lineage(score_forest(ready, nodes, inner, size, "anomaly_raw_score").drop(*inner))
     limit = quantile_value(scored, "anomaly_raw_score", contamination)
     flag = F.when(F.col("anomaly_raw_score") <= F.lit(limit), -1).otherwise(1)
     return scored.withColumn("anomaly_score", flag)

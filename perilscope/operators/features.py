@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from perilscope.functions.scalars import lookup, month_number, safe_ratio, tornado_scale
 from perilscope.operators.joins import broadcast_if_small
 from perilscope.operators.prefix import quantile_value
-from perilscope.operators.profile import mean_by
+from perilscope.session import cut_lineage
 from perilscope.vocab import EVENT_GROUPS, REGIONS
 
 LAGS = ("lag_event_count", "lag_deaths", "lag_damage")
@@ -26,7 +26,9 @@ def fatal_label(deaths: Column) -> Column:
 
 def attach_lags(events: DataFrame, lags: DataFrame) -> DataFrame:
     """Previous-year totals of the event's state; 0 where there are none."""
-    joined = events.join(broadcast_if_small(lags), ["state", "event_year"], "left")
+    # The yearly totals are one small aggregate of all events: computed once, then joined by its known size.
+    stored = cut_lineage(lags.select("state", "event_year", *LAGS))
+    joined = events.join(broadcast_if_small(stored), ["state", "event_year"], "left")
     return joined.withColumns({c: F.coalesce(c, F.lit(0)) for c in LAGS})
 
 
@@ -68,8 +70,8 @@ def split_by_year(df: DataFrame, last_train_year: int, year: str = "event_year")
 
 
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """n / (classes x class size), as column; one tiny aggregate is joined."""
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    """n / (classes x class size), as column; one pass counts the classes, the tiny result is joined."""
+    sizes = cut_lineage(df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")))
     total = sizes.agg(F.sum("_n")).scalar()
     classes = sizes.agg(F.count(F.lit(1))).scalar()
     weights = sizes.select(label, safe_ratio(total, classes * F.col("_n")).alias(out))
@@ -82,23 +84,38 @@ def positive_weights(df: DataFrame, label: str, out: str = "weight") -> DataFram
     return df.withColumn(out, F.when(F.col(label) == 1, ratio).otherwise(1.0))
 
 
+def _label_cells(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
+    """Rows and positives per combination of categories, stored."""
+    counts = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(label).cast("bigint")).alias("_pos"))
+    return cut_lineage(counts)
+
+
 def danger_weights(df: DataFrame, category: str, label: str, out: str = "weight") -> DataFrame:
-    """Positives: odds against the label, times 1 to 5 by the category's own rate. Negatives: 1."""
-    rates = mean_by(df, category, F.col(label), "_rate")
+    """Positives: odds against the label, times 1 to 5 by the category's own rate. Negatives: 1.
+
+    One pass counts (category, positives); all rates follow from that small table.
+    """
+    cells = _label_cells(df, [category], label)
+    share = cells.agg(safe_ratio(F.sum("_pos"), F.sum("_n"))).scalar()
+    rates = cells.filter(F.col(category).isNotNull()).select(category, safe_ratio(F.col("_pos"), F.col("_n")).alias("_rate"))
     low, high = rates.agg(F.min("_rate")).scalar(), rates.agg(F.max("_rate")).scalar()
-    share = df.agg(safe_ratio(F.sum(F.col(label).cast("bigint")), F.count(F.lit(1)))).scalar()
     spread = F.try_divide(F.col("_rate") - low, high - low)
     factors = rates.select(category, (1 + DANGER_RANGE * spread).alias("_factor"))
-    joined = df.join(broadcast_if_small(factors.filter(F.col(category).isNotNull())), category, "left")
+    joined = df.join(broadcast_if_small(factors), category, "left")
     positive = F.try_divide(1 - share, share) * F.coalesce("_factor", F.lit(1.0))
     return joined.withColumn(out, F.when(F.col(label) == 1, positive).otherwise(1.0)).drop("_factor")
 
 
 def target_encode(train: DataFrame, df: DataFrame, columns: dict[str, str], label: str) -> DataFrame:
-    """Training rate per category value; values unseen in training get the overall rate."""
-    overall = train.agg(safe_ratio(F.sum(F.col(label).cast("bigint")), F.count(F.lit(1)))).scalar()
+    """Training rate per category value; values unseen in training get the overall rate.
+
+    One pass over the training rows counts the combinations; every rate is a sum of those cells.
+    """
+    cells = _label_cells(train, list(columns), label)
+    overall = cells.agg(safe_ratio(F.sum("_pos"), F.sum("_n"))).scalar()
     for column, out in columns.items():
-        rates = mean_by(train.filter(F.col(column).isNotNull()), column, F.col(label), out)
+        known = cells.filter(F.col(column).isNotNull()).groupBy(column)
+        rates = known.agg(safe_ratio(F.sum("_pos"), F.sum("_n")).alias(out))
         df = df.join(broadcast_if_small(rates), column, "left").withColumn(out, F.coalesce(out, overall))
     return df
 

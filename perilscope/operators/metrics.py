@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from perilscope.functions.scalars import safe_ratio
 from perilscope.operators.prefix import running_sums
+from perilscope.session import cut_lineage
 
 
 def score_counts(df: DataFrame, score: str, label: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -38,8 +39,11 @@ def curve_of_counts(counted: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 
 def curve(df: DataFrame, score: str, label: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Exact precision/recall/false-positive points, one per distinct score; rows are merged per score first."""
-    return curve_of_counts(score_counts(df, score, label, keys), keys)
+    """Exact precision/recall/false-positive points, one per distinct score.
+
+    Rows are scored and merged once; everything after that reads the stored counts.
+    """
+    return curve_of_counts(cut_lineage(score_counts(df, score, label, keys)), keys)
 
 
 def areas(points: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

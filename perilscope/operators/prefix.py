@@ -13,7 +13,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from perilscope.session import shuffle_width
+from perilscope.session import cut_lineage, shuffle_width
 
 BUCKET = "_bucket"
 
@@ -86,12 +86,12 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linear-interpolation quantiles per (keys, column), one output column ``p<i>`` per probability.
 
-    Equal values are merged before the shuffle. NULLs are left out. Keys must not be NULL.
+    Equal values are merged before the shuffle and stored, so the source is read once. NULLs are left out. Keys must not be NULL.
     """
     group = [*keys, "column_name"]
     long = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
     long = long.unpivot(list(keys), list(columns), "column_name", "value").filter(F.col("value").isNotNull())
-    counted = long.groupBy(*group, "value").agg(F.count(F.lit(1)).alias("n"))
+    counted = cut_lineage(long.groupBy(*group, "value").agg(F.count(F.lit(1)).alias("n")))
     upto = running_sums(counted, group, "value", {"upto": F.col("n")})
     sizes = counted.groupBy(*group).agg(F.sum("n").alias("total"))
     ranked = upto.join(sizes, group)

@@ -28,7 +28,7 @@ def mean_by(df: DataFrame, key: str, value: Column, out: str) -> DataFrame:
 def value_counts(df: DataFrame, column: str, order: Sequence[str] | None = None) -> DataFrame:
     """Count and share per value; with ``order`` absent categories appear with 0, others are left out."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = counts.agg(F.sum("n")).scalar()
     if order is not None:
         known = fixed_rows(
             df.sparkSession, [(v, i) for i, v in enumerate(order)], columns(**{column: TEXT, "position": WHOLE})
@@ -117,8 +117,8 @@ def correlations(df: DataFrame, features: dict[str, Column], digits: int = 6) ->
 def histogram(df: DataFrame, value: Column, bins: int = 50) -> DataFrame:
     """Equal-width bins 1..bins between minimum and maximum; the maximum belongs to the last bin."""
     x = df.select(value.cast("double").alias("x")).filter(F.col("x").isNotNull())
-    low = x.agg(F.min("x")).scalar()
-    high = x.agg(F.max("x")).scalar()
+    ends = x.agg(F.struct(F.min("x").alias("low"), F.max("x").alias("high"))).scalar()
+    low, high = ends["low"], ends["high"]
     place = F.floor((F.col("x") - low) / ((high - low) / F.lit(float(bins)))) + 1
     bin_id = F.when(low == high, F.lit(1)).otherwise(F.least(place, F.lit(bins))).cast("int")
     return x.groupBy(bin_id.alias("bin")).agg(F.count(F.lit(1)).alias("n"))

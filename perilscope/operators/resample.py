@@ -42,7 +42,7 @@ def _compare_blocks(k: int):
     def compare(asking: pd.DataFrame, offered: pd.DataFrame) -> pd.DataFrame:
         if asking.empty or offered.empty:
             return pd.DataFrame({"id": [], "other": [], "copies": [], "distance": []})
-        a, b = np.stack(asking["x"].to_list()), np.stack(offered["x"].to_list())
+        a, b = np.stack(asking["x"].to_list()), np.stack(offered["y"].to_list())
         distance = np.sqrt(((a[:, None, :] - b[None, :, :]) ** 2).sum(axis=2))
         near = np.argsort(distance, axis=1, kind="stable")[:, : k + 1]
         rows = np.repeat(np.arange(len(a)), near.shape[1])
@@ -50,7 +50,7 @@ def _compare_blocks(k: int):
         return pd.DataFrame(
             {
                 "id": asking["id"].to_numpy()[rows],
-                "other": offered["id"].to_numpy()[picked],
+                "other": offered["other"].to_numpy()[picked],
                 "copies": offered["copies"].to_numpy()[picked],
                 "distance": distance[rows, picked],
             }
@@ -89,9 +89,14 @@ def nearest_points(points: DataFrame, k: int) -> DataFrame:
         asking = open_points.withColumn("other_block", F.explode(F.array(*[F.col("block") + s for s in steps])))
         asking = asking.filter(F.col("other_block").between(0, blocks - 1))
         wanted = asking.select("block", "other_block").distinct()
-        offered = points.select(F.col("block").alias("other_block"), "id", "copies", "x").join(wanted, "other_block")
+        offered = points.select(
+            F.col("block").alias("other_block"), F.col("id").alias("other"), "copies", F.col("x").alias("y")
+        )
+        offered = offered.join(wanted, "other_block").select(
+            F.col("block").alias("a_block"), F.col("other_block").alias("b_block"), "other", "copies", "y"
+        )
         pairs = asking.select("block", "other_block", "id", "x").groupBy("block", "other_block")
-        fresh = pairs.cogroup(offered.groupBy("block", "other_block")).applyInPandas(_compare_blocks(k), FOUND)
+        fresh = pairs.cogroup(offered.groupBy("a_block", "b_block")).applyInPandas(_compare_blocks(k), FOUND)
         if found is not None:
             kept = found.select("id", F.inline("near")).select("id", "other", "copies", "distance")
             fresh = fresh.unionByName(kept)

@@ -157,6 +157,7 @@ def mann_kendall(
 ) -> DataFrame:
     """Trend, p, z, tau, S, var(S), Sen slope and intercept per series."""
     keys = list(keys)
+    series = cut_lineage(series.select(*keys, period, value))
     lengths = series.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     longest = lengths.agg(F.max("_n")).first()[0] or 0
     if longest <= short:

@@ -10,6 +10,7 @@ from perilscope.operators.prefix import exact_quantiles
 from perilscope.operators.trend import mark_peak
 from perilscope.plans.enrich import modelling_events
 from perilscope.plans.marts import yearly_totals
+from perilscope.session import cut_lineage
 from perilscope.sources.census import STATE_ABBREVIATIONS
 from perilscope.vocab import DEFAULT_CUTOFFS, Cutoffs
 
@@ -23,7 +24,7 @@ def damage_per_event_by_year(severity: DataFrame) -> DataFrame:
     years = yearly_totals(severity)
     millions = F.round(safe_ratio(F.col("total_damage"), F.col("total_events")) / 1e6, 3)
     years = years.select("event_year", millions.alias("avg_damage_per_event_millions"))
-    return mark_peak(years, [], "avg_damage_per_event_millions").orderBy("event_year")
+    return mark_peak(cut_lineage(years), [], "avg_damage_per_event_millions").orderBy("event_year")
 
 
 def impact_by_type(impact: DataFrame) -> DataFrame:
@@ -48,7 +49,7 @@ def damage_by_state_and_decade(
         "event_count",
         lookup(F.col("state"), abbreviations).alias("state_abbrev"),
     )
-    shown = shown.filter(F.col("state_abbrev").isNotNull())
+    shown = cut_lineage(shown.filter(F.col("state_abbrev").isNotNull()))
     cap = exact_quantiles(shown, ["total_damage_billions"], [0.95]).select("p0").scalar()
     return shown.withColumn("colour_cap", F.round(cap, 6)).orderBy("decade", "state")
 

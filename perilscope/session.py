@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,21 +53,24 @@ def spread_if_narrow(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def _checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; only an unset local run gets a folder of its own."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names for checkpoints; only an unset local run gets one of its own."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    if shared:
-        context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
-    else:
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named:
+        return named
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    return context.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the result survives the loss of any executor."""
-    _checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the frame to the shared folder and read it back.
+
+    The result survives the loss of executors, is read column by column, and its size is known to Catalyst.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
