@@ -34,7 +34,11 @@ def expected_depth(n: float) -> float:
     return 2.0 * (math.log(n - 1) + 0.5772156649015329) - 2.0 * (n - 1) / n
 
 
-def _grow(features: list[str], limit: int, seed: int):
+def _grow(features: list[str], limit: int, seed: int, size: int):
+    # Everything the tasks need is captured here, so executors need no copy of this package.
+    leaf_depth = [expected_depth(n) for n in range(size + 1)]
+    names = [part.split()[0] for part in NODE_SCHEMA.split(", ")]
+
     def grow(bag: pd.DataFrame) -> pd.DataFrame:
         tree = int(bag["tree"].iloc[0])
         points = bag.sort_values("order")[features].to_numpy(dtype=float)
@@ -46,7 +50,7 @@ def _grow(features: list[str], limit: int, seed: int):
             low, high = inside.min(axis=0), inside.max(axis=0)
             splittable = np.flatnonzero(high > low)
             if level >= limit or len(inside) <= 1 or len(splittable) == 0:
-                nodes.append((tree, node, -1, 0.0, -1, -1, level + expected_depth(len(inside))))
+                nodes.append((tree, node, -1, 0.0, -1, -1, level + leaf_depth[len(inside)]))
                 continue
             feature = int(rng.choice(splittable))
             cut = float(rng.uniform(low[feature], high[feature]))
@@ -54,7 +58,7 @@ def _grow(features: list[str], limit: int, seed: int):
             nodes.append((tree, node, feature, cut, made, made + 1, 0.0))
             open_nodes += [(made, inside[left], level + 1), (made + 1, inside[~left], level + 1)]
             made += 2
-        return pd.DataFrame(nodes, columns=[c.split()[0] for c in NODE_SCHEMA.split(", ")])
+        return pd.DataFrame(nodes, columns=names)
 
     return grow
 
@@ -77,7 +81,7 @@ def grow_forest(
     bags = drawn.withColumn("_n", F.row_number().over(smallest)).filter(F.col("_n") <= size)
     limit = math.ceil(math.log2(max(size, 2)))
     nodes = bags.select("tree", "order", *features).groupBy("tree").applyInPandas(
-        _grow(features, limit, seed), NODE_SCHEMA
+        _grow(features, limit, seed, size), NODE_SCHEMA
     )
     return nodes, size
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from perilscope.functions.scalars import exact_total, money, safe_ratio
 from perilscope.operators.windows import percent_rank_within, previous_values, ranks_descending, share_of_total
-from perilscope.plans.enrich import grouped_events, located_events
+from perilscope.plans.enrich import comparable, grouped_events, located_events
+from perilscope.session import cut_lineage
 from perilscope.vocab import DEFAULT_CUTOFFS, EVENT_GROUPS, Cutoffs
 
 # Groups that can be named as dominant, in tie order; any other winner is reported as the fallback.
@@ -166,6 +167,28 @@ def surprise_states(risk: DataFrame, jump: float = 20.0) -> DataFrame:
     )
 
 
+MART_INPUTS = """
+event_year event_type_group state region decade is_pre_standardization deaths_direct injuries_direct
+property_damage_2024_usd crop_damage_2024_usd total_damage_usd total_damage_2024_usd
+""".split()
+
+
+def build_marts(enriched: DataFrame, cutoffs: Cutoffs = DEFAULT_CUTOFFS) -> dict[str, DataFrame]:
+    """All four marts from one pass over the events.
+
+    The few columns the marts read are stored once; three aggregations scan that narrow table. The fourth mart
+    reads the stored geographic one.
+    """
+    base = cut_lineage(comparable(enriched, cutoffs).select(*MART_INPUTS))
+    risk = cut_lineage(geographic_risk(base, cutoffs))
+    return {
+        "mart_severity_trends": severity_trends(base, cutoffs),
+        "mart_geographic_risk": risk,
+        "mart_economic_impact": economic_impact(base, cutoffs),
+        "mart_surprise_states": surprise_states(risk),
+    }
+
+
 def yearly_totals(severity: DataFrame) -> DataFrame:
     """Severity mart rolled up to years."""
     real = money(F.sum(F.col("total_damage_2024_usd").cast("decimal(30,2)")))

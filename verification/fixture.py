@@ -41,15 +41,15 @@ def raw_events(line: DataFrame, orders: DataFrame, customer: DataFrame, nation:
     for kind, level in DEADLY_FROM.items():
         threshold = F.when(F.col("p_type") == kind, level).otherwise(threshold)
     month = F.element_at(F.array(*[F.lit(m) for m in MONTHS]), F.month("l_shipdate"))
-    day = F.upper(F.date_format("l_shipdate", "dd-MMM-yy"))
+    begin = F.upper(F.date_format("l_shipdate", "dd-MMM-yy HH:mm:ss"))
     adapted = joined.select(
         F.col("l_orderkey").cast("string").alias("EVENT_ID"),
         F.col("l_suppkey").cast("string").alias("EPISODE_ID"),
         F.year("l_shipdate").alias("YEAR"),
         F.when(F.col("n_nationkey") != 24, F.upper(F.replace("n_name", F.lit("_"), F.lit(" ")))).alias("STATE"),
         month.alias("MONTH_NAME"),
-        F.upper(F.date_format("l_shipdate", "dd-MMM-yy HH:mm:ss")).alias("BEGIN_DATE_TIME"),
-        F.concat(day, F.lit(" 23:59:59")).alias("END_DATE_TIME"),
+        begin.alias("BEGIN_DATE_TIME"),
+        F.concat(F.substring(begin, 1, 9), F.lit(" 23:59:59")).alias("END_DATE_TIME"),
         F.col("p_type").alias("EVENT_TYPE"),
         F.col("l_partkey").cast("string").alias("WFO"),
         F.concat(F.lit(" "), F.col("c_mktsegment"), F.lit(" County")).alias("CZ_NAME"),

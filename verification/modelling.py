@@ -15,7 +15,7 @@ from verification.fixture import CUTOFFS, FIXTURE_REGIONS, GROUP_OF_TYPE, Fixtur
 from verification.relational import query
 
 GROUPS = tuple(sorted(GROUP_OF_TYPE.values()))
-SETUP = study.Setup(cutoffs=CUTOFFS, last_train_year=1999, groups=GROUPS, regions=FIXTURE_REGIONS, rounds=10)
+SETUP = study.Setup(cutoffs=CUTOFFS, last_train_year=1999, groups=GROUPS, regions=FIXTURE_REGIONS, rounds=5)
 
 
 def scored(f: Fixture) -> DataFrame:
