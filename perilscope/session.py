@@ -14,7 +14,9 @@ RESULT_SETTINGS = {
 }
 
 
-def build_session(app: str = "perilscope", cores: int | None = None, memory: str = "12g") -> SparkSession:
+def build_session(
+    app: str = "perilscope", cores: int | None = None, memory: str = "12g", settings: dict[str, str] | None = None
+) -> SparkSession:
     """Local session for tests and the benchmark; a cluster job brings its own."""
     cores = cores or os.cpu_count() or 4
     builder = (
@@ -27,7 +29,7 @@ def build_session(app: str = "perilscope", cores: int | None = None, memory: str
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
-    for key, value in RESULT_SETTINGS.items():
+    for key, value in {**RESULT_SETTINGS, **(settings or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

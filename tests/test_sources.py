@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from perilscope.plans.staging import stage_events
+from perilscope.session import cut_lineage
 from perilscope.sources import census, events, prices, seeds, warehouse
 from perilscope.vocab import RAW_EVENTS, STATE_REGIONS, TYPE_GROUPS, Cutoffs
 
@@ -134,6 +135,11 @@ def test_seeds(spark, scratch):
     assert seeds.fixed_rows(spark, [("it's", None)], TYPE_GROUPS).first()[0] == "it's"
 
 
+def test_intermediates_go_to_the_folder_the_session_names(spark):
+    stored = cut_lineage(spark.range(5))
+    assert stored.count() == 5 and all("/shared/table-" in path for path in stored.inputFiles())
+
+
 def test_tables_and_views(spark, scratch):
     frame = spark.range(3)
     warehouse.replace_table(frame, f"{scratch}/t")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -13,7 +14,8 @@ from perilscope.functions.damage import damage_rejects, damage_usd
 from perilscope.operators import joins, profile, quality, sampling, windows
 from perilscope.plans import enrich, marts, reports
 from perilscope.plans.staging import stage_cpi
-from perilscope.sources import census, events as event_files
+from perilscope.session import shared_folder
+from perilscope.sources import census, events as event_files, warehouse
 from perilscope.sources.prices import with_deflator
 from verification.base_sql import cents, damage_sql, with_parts
 from verification.fixture import CUTOFFS, DEADLY_FROM, GROUP_OF_TYPE, Fixture
@@ -554,6 +556,52 @@ def aggregate_distinct_years(f: Fixture) -> DataFrame:
     return f.table("lineitem").select(F.year("l_shipdate").cast("bigint").alias("year")).distinct()
 
 
+def _scratch(f: Fixture, name: str) -> str:
+    return f"{shared_folder(f.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query(
+    "load_partitioned_table",
+    with_parts("raw", then="""
+SELECT event_year, state_raw AS state, event_type_raw AS event_type, count(*) AS n, count(damage_property) AS with_damage,
+       CAST(sum(deaths_raw) AS BIGINT) AS deaths FROM raw GROUP BY 1, 2, 3"""),
+)
+def load_partitioned_table(f: Fixture) -> DataFrame:
+    """Write the raw table by year, replace one year with itself, read everything back."""
+    table = _scratch(f, "raw")
+    event_files.write_years(f.raw, table, splits_per_year=2)
+    event_files.write_years(f.raw.filter("YEAR = 1999"), table, splits_per_year=2)
+    stored = warehouse.read_table(f.spark, table)
+    return stored.groupBy(
+        F.col("YEAR").alias("event_year"), F.col("STATE").alias("state"), F.col("EVENT_TYPE").alias("event_type")
+    ).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count("DAMAGE_PROPERTY").alias("with_damage"),
+        F.sum("DEATHS_DIRECT").alias("deaths"),
+    )
+
+
+@query(
+    "source_event_files",
+    with_parts("raw", then="""
+SELECT event_year, cz_name, begin_text, count(*) AS n, count(deaths_raw) AS with_deaths,
+       CAST(sum(injuries_raw) AS BIGINT) AS injuries FROM raw GROUP BY 1, 2, 3"""),
+)
+def source_event_files(f: Fixture) -> DataFrame:
+    """Write all events as latin-1 gzip CSV and read them with the event reader."""
+    folder = _scratch(f, "landed")
+    writer = f.raw.write.option("header", True).option("compression", "gzip").option("encoding", "ISO-8859-1")
+    writer.option("escape", '"').option("ignoreLeadingWhiteSpace", False).csv(folder)
+    read = event_files.read_events(f.spark, folder, glob="*.csv.gz")
+    return read.groupBy(
+        F.col("YEAR").alias("event_year"), F.col("CZ_NAME").alias("cz_name"), F.col("BEGIN_DATE_TIME").alias("begin_text")
+    ).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count("DEATHS_DIRECT").alias("with_deaths"),
+        F.sum("INJURIES_DIRECT").alias("injuries"),
+    )
+
+
 @query("sample_seeded")
 def sample_seeded(f: Fixture) -> DataFrame:
     return sampling.seeded_sample(f.table("events"), ["event_id"], 500)
