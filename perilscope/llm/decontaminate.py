@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perilscope.llm.text import fold_ascii, with_row_hash, words
+from perilscope.llm.text import ROW_KEY, fold_ascii, with_row_hash, without, words
 from perilscope.session import cut_lineage
 
 SHINGLE = 5
@@ -102,9 +102,9 @@ def contained(
 
 def clean(docs: DataFrame, items: DataFrame, words_each: int = SHINGLE, containment: float = CONTAINMENT) -> DataFrame:
     """The documents that contain no item, unchanged."""
-    keys = ["_id", "_no_id", "_row_hash"]
+    keys = ROW_KEY[:3]
     index = cut_lineage(item_index(items, words_each, containment))
     texts = with_row_hash(docs.select("doc_id", "source", "text")).select(*keys, "text")
     hits = cut_lineage(sketch_hits(texts, index, keys, words_each))
     dirty = verified(texts, hits, index, keys, words_each).select(*keys).distinct()
-    return with_row_hash(docs).join(dirty, keys, "left_anti").select(*docs.columns)
+    return without(docs, dirty)

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perilscope.llm.text import ROW_KEY, SPACE, WORD, fold_ascii, with_row_hash, with_row_key, words
+from perilscope.llm.text import ROW_KEY, SPACE, WORD, fold_ascii, with_row_key, without, words
 from perilscope.session import cut_lineage
 
 MIN_WORDS = 10
@@ -111,4 +111,4 @@ def judge(docs: DataFrame, host: str = "source", depleted: float = DEPLETED) ->
 def keep(docs: DataFrame, host: str = "source") -> DataFrame:
     """The documents that pass, unchanged. Rows that agree in doc_id, source and text have the same verdict."""
     rejected = judge(docs, host).filter(~F.col("kept")).select(*ROW_KEY[:3]).distinct()
-    return with_row_hash(docs).join(rejected, ROW_KEY[:3], "left_anti").select(*docs.columns)
+    return without(docs, rejected)

@@ -13,8 +13,7 @@ DataFrame operations only. Everything random is a hash of the seed: reruns agree
 
 Defined results: a NULL source is a source of its own, sorted last; NULL, empty and blank texts have size 0 and take
 nothing; rows that repeat a doc_id, or have none, are packed one by one; a source without words has target 0; an empty
-table gives an empty mixture. Columns beside doc_id, source and text don't matter and may have any name that doesn't
-start with an underscore.
+table gives an empty mixture. Other columns don't matter.
 """
 
 from __future__ import annotations
@@ -183,9 +182,8 @@ def mixed_blocks(docs: DataFrame, mixed: Mix) -> DataFrame:
     cut = taken_pieces(mixed).select(
         *ROW_KEY, "block", (F.col("_from") + 1).cast("int").alias("_first"), F.col("_words").cast("int").alias("_count")
     )
-    texts = attach(docs.select("doc_id", "source", "text"), cut).select(
-        "doc_id", "source", F.col("_first"), piece.alias("_piece")
-    )
+    texts = attach(docs.select("doc_id", "source", "text"), cut).select("_doc.*", "block", "_first", "_count")
+    texts = texts.select("doc_id", "source", "_first", piece.alias("_piece"))
     placed = placed_blocks(mixed).withColumn("source", F.when(~F.col("_none"), F.col("_source")))
     texts = texts.select("doc_id", F.col("source").alias("_s"), "_first", "_piece.*")
     joined = placed.join(texts, (placed["source"].eqNullSafe(texts["_s"])) & (placed["block"] == texts["block"]))
@@ -204,13 +202,18 @@ def mixed_documents(docs: DataFrame, mixed: Mix) -> DataFrame:
     )
     rows = attach(docs, parts).withColumn("_pass", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_most"))))
     chosen = F.filter("_parts", lambda p: p["_times"] >= F.col("_pass"))
-    rows = rows.withColumns({"_chosen": chosen, "_list": words(F.col("text"))})
+    rows = rows.withColumns({"_chosen": chosen, "_text": F.col("_doc.text")}).withColumn("_list", words(F.col("_text")))
     count = F.aggregate("_chosen", F.lit(0).cast("bigint"), lambda total, p: total + p["_words"])
     taken = F.flatten(
         F.transform("_chosen", lambda p: F.slice(F.col("_list"), (p["_from"] + 1).cast("int"), p["_words"].cast("int")))
     )
-    text = F.when(count == F.size("_list"), F.col("text")).otherwise(F.array_join(taken, " "))
-    rows = rows.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+    text = F.when(count == F.size("_list"), F.col("_text")).otherwise(F.array_join(taken, " "))
+    rows = rows.select("_doc", text.alias("_text"))
+    made = {"text": F.col("_text"), "n_chars": F.char_length("_text")}
+    kinds = {field.name: field.dataType for field in docs.schema.fields}
+    return rows.select(
+        *[
+            made[name].cast(kinds[name]).alias(name) if name in made else F.col("_doc").getField(name).alias(name)
+            for name in docs.columns
+        ]
+    )

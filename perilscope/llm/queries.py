@@ -19,6 +19,9 @@ from perilscope.llm import (
     substrings,
     url_filter,
 )
+from perilscope.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -109,4 +112,3 @@ QUERIES = {
     )
 }
 
-ORACLES: dict[str, str] = {}

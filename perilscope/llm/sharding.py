@@ -78,4 +78,4 @@ def shard(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     kept = docs.drop(*PLACED)
     rows = with_row_key(measured(kept.select("doc_id", "source", "text"))).drop("text")
     placed = interleave(rows, docs.count(), shards, seed).select(*ROW_KEY, *PLACED)
-    return attach(kept, placed)
+    return attach(kept, placed).select("_doc.*", *PLACED)

@@ -43,8 +43,19 @@ def with_row_key(df: DataFrame) -> DataFrame:
     return with_row_hash(df).withColumn("_nth", F.row_number().over(same))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """doc_id, source, text and ``_doc``, the whole row: whatever its columns are called, they clash with nothing."""
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_doc")
+    return docs.select("doc_id", "source", "text", row)
+
+
 def attach(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    """The rows of ``docs`` joined to what was decided for them; ``decided`` has ``ROW_KEY`` and no other shared name."""
-    right = decided.withColumnRenamed("_nth", "_nth_decided")
-    joined = with_row_key(docs).join(right, ROW_KEY[:3])
+    """``_doc`` and what was decided for that row; ``decided`` has ``ROW_KEY`` and columns of its own."""
+    rows = with_row_key(packed(docs)).drop("doc_id", "source", "text")
+    joined = rows.join(decided.withColumnRenamed("_nth", "_nth_decided"), ROW_KEY[:3])
     return joined.filter(F.abs(F.col("_nth") - F.col("_nth_decided")) < 1).drop(*ROW_KEY, "_nth_decided")
+
+
+def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The rows of ``docs``, unchanged, that aren't in ``rejected`` (the first three columns of ``ROW_KEY``)."""
+    return with_row_hash(packed(docs)).join(rejected, ROW_KEY[:3], "left_anti").select("_doc.*")
