@@ -21,12 +21,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perilscope.llm.text import ROW_KEY, fold_ascii, with_row_hash, without, words
+from perilscope.llm.text import ROW_KEY, broadcast_if_few, fold_ascii, with_row_hash, without, words
 from perilscope.session import cut_lineage
 
 SHINGLE = 5
 CONTAINMENT = 0.8
-BROADCAST_ROWS = 200_000  # of two longs: a few MB
 
 
 def with_shingles(df: DataFrame, words_each: int = SHINGLE) -> DataFrame:
@@ -62,21 +61,16 @@ def sketch_hits(docs: DataFrame, index: DataFrame, keys: list[str], words_each:
     """keys, item_id, size: distinct pairs where a sketch value of the item is among the document's shingles."""
     sketches = index.filter("sketched").select("item_id", "size", "need", "shingle")
     rows = with_shingles(docs, words_each).select(*keys, F.size("_shingles").alias("_n"), F.explode_outer("_shingles").alias("shingle"))
-    found = rows.join(small(sketches), "shingle").filter(F.col("_n") >= F.col("need"))
+    found = rows.join(broadcast_if_few(sketches), "shingle").filter(F.col("_n") >= F.col("need"))
     return found.select(*keys, "item_id").distinct()
 
 
-def small(df: DataFrame) -> DataFrame:
-    """Broadcast the frame if a count shows that it is small; otherwise leave the join to Catalyst and AQE."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def verified(docs: DataFrame, hits: DataFrame, index: DataFrame, keys: list[str], words_each: int = SHINGLE) -> DataFrame:
     """keys, item_id, n_shared, n_item: pairs whose shared shingles reach the containment, from the full sets."""
     texts = docs.join(hits.select(*keys).distinct(), keys, "left_semi")
     rows = with_shingles(texts, words_each).select(*keys, F.explode_outer("_shingles").alias("shingle"))
     entries = index.select("item_id", "shingle", "size", "need")
-    shared = rows.join(small(entries), "shingle").groupBy(*keys, "item_id").agg(
+    shared = rows.join(broadcast_if_few(entries), "shingle").groupBy(*keys, "item_id").agg(
         F.count_distinct("shingle").alias("n_shared"), F.max("size").alias("n_item"), F.max("need").alias("_need")
     )
     confirmed = shared.filter(F.col("n_shared") >= F.col("_need")).drop("_need")

@@ -7,7 +7,7 @@
    values that are common in the corpus make no lists.
 3. A list never yields all its pairs. Its members are first linked to a pivot, the member with the most widespread
    sketch; what is confirmed becomes components. Lists that still hold several components are looked at again with
-   full sets, and only members of different components are paired.
+   full sets, by pivots once more, and then only members of different components are paired.
 4. The union sketch estimates the similarity of a pair and drops clear misses.
 5. What is left is confirmed by the exact Jaccard similarity of the full sets. Components of the confirmed links, with
    the members of the classes, are the groups.
@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perilscope.llm.graph import components
+from perilscope.llm.text import broadcast_if_few
 from perilscope.llm.wordhash import mixed, slices
 from perilscope.session import cut_lineage
 
@@ -134,13 +135,18 @@ def inverted_lists(heads: DataFrame, index: int, need: int, similarity: Fraction
         {
             "seen": F.count(F.lit(1)).over(mine),
             "rank": F.row_number().over(mine.orderBy("df", "value")),
-            "spread": F.sum(F.log2("df")).over(mine),
+            "spread": F.sum(weight(F.col("df"))).over(mine),
         }
     )
     chosen = ranked.filter(F.col("rank") + F.col("held") - F.col("seen") <= listed)
     return chosen.select("value", "doc_id", "n_shingles", "spread")
 
 
+def weight(df: Column) -> Column:
+    """Sixteenths of the binary logarithm, as whole numbers: their sums are the same in any order."""
+    return F.floor(F.log2(df) * 16)
+
+
 def near_sizes(a: Column, b: Column, similarity: Fraction) -> Column:
     t, whole = similarity.numerator, similarity.denominator
     return (F.least(a, b) * whole >= F.greatest(a, b) * t)
@@ -157,15 +163,15 @@ def plausible(left: Column, right: Column, k: int, least: int) -> Column:
     return common * k >= F.size(union) * least
 
 
-def pivot_pairs(lists: DataFrame, label: str, similarity: Fraction) -> DataFrame:
-    """a, b: members of a list with its pivot, when they have different labels.
+def pivot_pairs(lists: DataFrame, similarity: Fraction) -> DataFrame:
+    """a, b: members of a list (value, doc_id, n_shingles, spread, label) with its pivot, where their labels differ.
 
-    The pivot is the member with the most widespread sketch: in a group around a common original that is the original
+    The pivot is the member with the most widespread values: in a group around a common original that is the original
     or close to it. It comes from a grouped maximum, so a long list is never gathered.
     """
-    best = F.max_by(F.struct("doc_id", "n_shingles", label), F.struct("spread", -F.col("doc_id"))).alias("pivot")
+    best = F.max_by(F.struct("doc_id", "n_shingles", "label"), F.struct("spread", -F.col("doc_id"))).alias("pivot")
     pivots = lists.groupBy("value").agg(best)
-    paired = lists.join(pivots, "value").filter(F.col(label) != F.col("pivot")[label])
+    paired = lists.join(pivots, "value").filter(F.col("label") != F.col("pivot.label"))
     near = paired.filter(near_sizes(F.col("n_shingles"), F.col("pivot.n_shingles"), similarity))
     return ordered_pairs(near, F.col("doc_id"), F.col("pivot.doc_id"))
 
@@ -174,16 +180,23 @@ def ordered_pairs(df: DataFrame, left: Column, right: Column) -> DataFrame:
     return df.select(F.least(left, right).alias("a"), F.greatest(left, right).alias("b")).distinct()
 
 
-def confirmed(pairs: DataFrame, heads: DataFrame, docs: DataFrame, words_each: int, similarity: Fraction) -> DataFrame:
-    """The pairs whose full sets are similar, after the estimate from their sketches."""
-    side = heads.select("doc_id", "sketch")
-    sketched = pairs.join(side.toDF("a", "sa"), "a").join(side.toDF("b", "sb"), "b")
+def only(table: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of these doc_ids; few ids are broadcast, which spares the shuffle of the table."""
+    return table.join(broadcast_if_few(ids.distinct()), "doc_id", "left_semi")
+
+
+def both_sides(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    """pairs with ``column`` of a and of b as xa and xb."""
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
+    side = only(table.select("doc_id", column), ids)
+    return pairs.join(side.toDF("a", "xa"), "a").join(side.toDF("b", "xb"), "b")
+
+
+def confirmed(pairs: DataFrame, heads: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
+    """The pairs whose full sets are similar, after the estimate from their sketches. ``pairs`` is a stored table."""
     least = least_shared(SKETCH, similarity)
-    likely = cut_lineage(sketched.filter(plausible(F.col("sa"), F.col("sb"), SKETCH, least)).select("a", "b"))
-    wanted = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
-    sets = full_sets(docs.join(wanted, "doc_id", "left_semi"), words_each)
-    first = likely.join(sets.toDF("a", "xa"), "a")
-    both = first.join(sets.toDF("b", "xb"), "b")
+    likely = both_sides(pairs, heads, "sketch").filter(plausible(F.col("xa"), F.col("xb"), SKETCH, least))
+    both = both_sides(cut_lineage(likely.select("a", "b").distinct()), sets, "shingles")
     shared = F.size(F.array_intersect("xa", "xb"))
     similar = reaches(shared, F.size("xa") + F.size("xb") - shared, similarity)
     return cut_lineage(both.filter(similar).select("a", "b").distinct())
@@ -194,39 +207,52 @@ def labelled(lists: DataFrame, links: DataFrame) -> DataFrame:
     groups = components(links)
     named = lists.drop("label").join(groups, lists["doc_id"] == groups["node"], "left")
     named = named.withColumn("label", F.coalesce("component", "doc_id")).drop("node", "component")
-    mixed_lists = named.groupBy("value").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
-    return cut_lineage(named.join(mixed_lists.select("value"), "value", "left_semi"))
+    several = named.groupBy("value").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
+    return cut_lineage(named.join(several.select("value"), "value", "left_semi"))
 
 
-def cross_pairs(lists: DataFrame, docs: DataFrame, words_each: int, similarity: Fraction) -> DataFrame:
-    """a, b: pairs of members with different labels that the full sets don't rule out.
+def exact_lists(lists: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
+    """value, doc_id, n_shingles, place, spread, label: the members of ``lists`` under the rarest shingles of their full sets.
 
-    The sets are listed under their rarest shingles, as many as a similar set must meet one of. Where two sets first
-    meet, at places i and j of their orders, they share at most the rest of each; that and the sizes are tested inside the join.
-    One side of the join leaves out the most common label of each list, so a large component is never paired with itself.
+    As many as a similar set must meet one of; ``place`` counts in the order of rarity. Shingles that only one of these sets has
+    come first and are left out, as they meet nothing.
     """
     label = lists.select("doc_id", "label").distinct()
-    sets = full_sets(docs.join(label, "doc_id", "left_semi"), words_each)
-    entries = cut_lineage(sets.select("doc_id", F.size("shingles").alias("n"), F.explode_outer("shingles").alias("value")))
+    members = only(sets, label.select("doc_id"))
+    entries = members.select("doc_id", F.size("shingles").cast("bigint").alias("n_shingles"), F.explode_outer("shingles").alias("value"))
     often = entries.groupBy("value").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    mine = Window.partitionBy("doc_id", "n")
+    mine = Window.partitionBy("doc_id", "n_shingles")
     met = entries.join(often, "value").withColumns(
-        {"place": F.row_number().over(mine.orderBy("df", "value")), "met": F.count(F.lit(1)).over(mine)}
+        {
+            "rank": F.row_number().over(mine.orderBy("df", "value")),
+            "met": F.count(F.lit(1)).over(mine),
+            "spread": F.sum(weight(F.col("df"))).over(mine),
+        }
     )
-    place = F.col("n") - F.col("met") + F.col("place")
+    met = met.withColumn("place", F.col("n_shingles") - F.col("met") + F.col("rank"))
     t, whole = similarity.numerator, similarity.denominator
-    first = met.withColumn("place", place).filter((F.col("n") - F.col("place") + 1) * whole >= F.col("n") * t)
-    members = cut_lineage(first.select("value", "doc_id", "n", "place").join(label, "doc_id"))
-    counts = members.groupBy("value", "label").agg(F.count(F.lit(1)).alias("count"))
-    common = counts.groupBy("value").agg(F.max_by("label", F.struct("count", "label")).alias("common"), F.count(F.lit(1)).alias("labels"))
-    others = members.join(common.filter("labels > 1"), "value").filter("label <> common").drop("common", "labels")
-    left, right = members.alias("l"), others.alias("r")
-    rest = F.least(F.col("l.n") - F.col("l.place"), F.col("r.n") - F.col("r.place")) + 1
+    first = met.filter((F.col("n_shingles") - F.col("place") + 1) * whole >= F.col("n_shingles") * t)
+    return first.select("value", "doc_id", "n_shingles", "place", "spread").join(label, "doc_id")
+
+
+def cross_pairs(lists: DataFrame, similarity: Fraction) -> DataFrame:
+    """a, b: members of one exact list with different labels that sizes and places don't rule out.
+
+    Where two sets first meet, at places i and j of their orders, they share at most the rest of each; that and the sizes
+    are tested inside the join. One side of the join leaves out the most common label of each list, so a large
+    component is never paired with itself.
+    """
+    counts = lists.groupBy("value", "label").agg(F.count(F.lit(1)).alias("count"))
+    common = counts.groupBy("value").agg(F.max_by("label", F.struct("count", "label")).alias("common"))
+    others = lists.join(common, "value").filter("label <> common").drop("common")
+    left, right = lists.alias("l"), others.alias("r")
+    n, m = F.col("l.n_shingles"), F.col("r.n_shingles")
+    rest = F.least(n - F.col("l.place"), m - F.col("r.place")) + 1
     test = (
         (F.col("l.value") == F.col("r.value"))
         & (F.col("l.label") != F.col("r.label"))
-        & near_sizes(F.col("l.n"), F.col("r.n"), similarity)
-        & reaches(rest, F.col("l.n") + F.col("r.n") - rest, similarity)
+        & near_sizes(n, m, similarity)
+        & reaches(rest, n + m - rest, similarity)
     )
     return ordered_pairs(left.join(right, test), F.col("l.doc_id"), F.col("r.doc_id"))
 
@@ -236,11 +262,13 @@ def links_between(heads: DataFrame, docs: DataFrame, words_each: int, similarity
     need = least_shared(index, similarity)
     tops = heads.filter("n_shingles > 0").select("doc_id", "n_shingles", F.slice("sketch", 1, index).alias("top"))
     lists = cut_lineage(inverted_lists(tops, index, need, similarity).withColumn("label", F.col("doc_id")))
-    pairs = cut_lineage(pivot_pairs(lists, "label", similarity))
-    found = confirmed(pairs, heads, docs, words_each, similarity)
-    lists = labelled(lists, found)
-    pairs = cut_lineage(cross_pairs(lists, docs, words_each, similarity))
-    return found.union(confirmed(pairs, heads, docs, words_each, similarity))
+    sets = cut_lineage(full_sets(only(docs, lists.select("doc_id")), words_each))
+    found = confirmed(cut_lineage(pivot_pairs(lists, similarity)), heads, sets, similarity)
+    # What the pivots of the sketches left open: the same with the pivots of full sets, then pairs of what is left.
+    exact = cut_lineage(exact_lists(labelled(lists, found), sets, similarity))
+    found = found.union(confirmed(cut_lineage(pivot_pairs(exact, similarity)), heads, sets, similarity))
+    exact = labelled(exact, found)
+    return found.union(confirmed(cut_lineage(cross_pairs(exact, similarity)), heads, sets, similarity))
 
 
 def near_duplicates(

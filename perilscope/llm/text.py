@@ -19,6 +19,17 @@ def fold_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_few(df: DataFrame) -> DataFrame:
+    """Broadcast a frame of a few plain columns if a count shows that it is small; otherwise Spark picks the join.
+
+    The bound is a few MB; it changes the plan and no row.
+    """
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 ROW_KEY = ["_id", "_no_id", "_row_hash", "_nth"]
 
 
