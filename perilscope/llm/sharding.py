@@ -2,7 +2,7 @@
 
 Rows are shuffled by a seed inside each source and ranked; the row of rank r among n gets the fractional rank
 (r + 1/2) / n. Sorted by it, the sources interleave in proportion, so equal cuts of that order are shards that
-match the mixture: shard sizes differ by one row at most, and a source's share of a shard by about one row.
+match the mixture: shard sizes differ by one row at most, and the rows of a source in a shard differ from its share by less than two.
 
 DataFrame operations only. No window holds a whole source: see ``ranking``. Places are found on narrow rows.
 
