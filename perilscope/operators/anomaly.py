@@ -68,14 +68,16 @@ def grow_forest(
 ) -> tuple[DataFrame, int]:
     """Node table and bag size. Bags are drawn by key hash, so they do not depend on partitioning.
 
-    Trees draw from a hash-chosen pool of a bounded expected size; rows outside it are never expanded.
+    Each tree has its own hash of every row, so any row can be in any tree, independently of the other trees. A row is
+    only expanded for the trees in which its hash is among the lowest, four times as many as a bag needs.
     """
     features = list(features)
     rows = df.count()
     size = min(bag, rows)
-    pool_share = min(1.0, 4.0 * trees * bag / max(rows, 1))
-    pool = df.filter(hash_fraction(*keys, F.lit(seed)) < pool_share).select(*keys, *features)
-    drawn = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    share = min(1.0, 4.0 * bag / max(rows, 1))
+    numbers = F.sequence(F.lit(0), F.lit(trees - 1))
+    mine = F.filter(numbers, lambda tree: hash_fraction(tree, *keys, F.lit(seed + 1)) < share)
+    drawn = df.select(*keys, *features, F.explode(mine).alias("tree"))
     drawn = drawn.withColumn("order", F.xxhash64("tree", *keys, F.lit(seed)))
     smallest = Window.partitionBy("tree").orderBy("order", *keys)
     bags = drawn.withColumn("_n", F.row_number().over(smallest)).filter(F.col("_n") <= size)

@@ -9,24 +9,29 @@ from pyspark.sql import functions as F
 
 from perilscope.operators.features import assemble
 from perilscope.operators.metrics import areas, curve_of_counts, score_counts
-from perilscope.session import cut_lineage, shuffle_width
+from perilscope.session import cut_lineage
 
 BASE = "none"
+BUCKET_ROWS = 50_000
 
 
 def with_donors(df: DataFrame, columns: Sequence[str], seed: int = 42) -> DataFrame:
     """Add ``donor``: the columns of another row of a hash shuffle.
 
-    Rows are dealt to buckets by hash and take the next row of their bucket, the last one the first: a random
-    exchange that needs no global order.
+    Equal rows are numbered, so that content and number are a key of the row. By its hash, rows are dealt to buckets and
+    take the next row of their bucket, the last one the first: a random exchange that needs no global order and depends
+    on nothing but the rows and ``seed``.
     """
-    numbered = cut_lineage(df).withColumn("_id", F.monotonically_increasing_id())
-    buckets = 4 * shuffle_width(df.sparkSession)
-    dealt = numbered.withColumn("_deal", F.pmod(F.xxhash64("_id", F.lit(seed)), F.lit(buckets)))
-    ring = Window.partitionBy("_deal").orderBy(F.xxhash64("_id", F.lit(seed + 1)), "_id")
+    stored = cut_lineage(df)
+    buckets = max(1, stored.count() // BUCKET_ROWS)
+    content = F.xxhash64(*df.columns)
+    twins = Window.partitionBy("_content", *df.columns).orderBy("_content")
+    numbered = stored.withColumn("_content", content).withColumn("_twin", F.row_number().over(twins))
+    dealt = numbered.withColumn("_deal", F.pmod(F.xxhash64("_content", "_twin", F.lit(seed)), F.lit(buckets)))
+    ring = Window.partitionBy("_deal").orderBy(F.xxhash64("_content", "_twin", F.lit(seed + 1)), *df.columns, "_twin")
     whole = F.struct(*columns)
     start = F.first(whole).over(ring.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return dealt.withColumn("donor", F.coalesce(F.lead(whole).over(ring), start)).drop("_id", "_deal")
+    return dealt.withColumn("donor", F.coalesce(F.lead(whole).over(ring), start)).drop("_content", "_twin", "_deal")
 
 
 def permutation_importance(

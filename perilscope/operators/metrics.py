@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perilscope.functions.scalars import safe_ratio
@@ -120,8 +120,8 @@ def confusion(df: DataFrame, label: str, predicted: str) -> DataFrame:
     """Counts and share of the true class, long form."""
     counts = df.groupBy(F.col(label).alias("actual"), F.col(predicted).alias("predicted"))
     counts = counts.agg(F.count(F.lit(1)).alias("n"))
-    totals = df.groupBy(F.col(label).alias("actual")).agg(F.count(F.lit(1)).alias("support"))
-    return counts.join(totals, "actual").select(
+    of_class = F.sum("n").over(Window.partitionBy("actual"))
+    return counts.withColumn("support", of_class).filter(F.col("actual").isNotNull()).select(
         "actual", "predicted", "n", F.round(safe_ratio(F.col("n"), F.col("support")), 6).alias("share")
     )
 

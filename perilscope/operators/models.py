@@ -7,13 +7,16 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from perilscope.operators.scaling import Scaling, scaling_stage
+
 FEATURES = "features"
-SCORE_DIGITS = 6
+SCALED = "__scaled"
 
 
 def fit_logistic(train: DataFrame, label: str, weight: str | None = None, rounds: int = 200, strength: float = 1.0):
@@ -97,10 +100,10 @@ class TwoStage:
 def fit_calibration(held_out: DataFrame, score: str, label: str) -> IsotonicRegressionModel:
     """Isotonic map from score to frequency, fitted on rows kept out of training.
 
-    Rows are merged per score at six decimals first, so the fit sees at most a million weighted points
-    however many rows there are.
+    Rows of equal score are merged first; the learner then pools neighbours inside each partition before the last
+    pass, so what meets in one place are pools, not rows.
     """
-    merged = held_out.groupBy(F.round(score, SCORE_DIGITS).alias("_s")).agg(
+    merged = held_out.groupBy(F.col(score).alias("_s")).agg(
         F.avg(F.col(label).cast("double")).alias("_y"), F.count(F.lit(1)).cast("double").alias("_w")
     )
     learner = IsotonicRegression(featuresCol="_s", labelCol="_y", weightCol="_w", predictionCol="_calibrated")
@@ -108,7 +111,7 @@ def fit_calibration(held_out: DataFrame, score: str, label: str) -> IsotonicRegr
 
 
 def with_calibrated(model: IsotonicRegressionModel, df: DataFrame, score: str, out: str) -> DataFrame:
-    mapped = model.transform(df.withColumn("_s", F.round(score, SCORE_DIGITS)))
+    mapped = model.transform(df.withColumn("_s", F.col(score)))
     return mapped.withColumnRenamed("_calibrated", out).drop("_s")
 
 
@@ -121,7 +124,7 @@ def importances(spark: SparkSession, model, names: Sequence[str], top: int | Non
 
 
 def risk_scores(df: DataFrame, model: Transformer, threshold: float = 0.02, name: str = "gb") -> DataFrame:
-    """Batch risk of many events at once."""
+    """Batch risk of many events at once; ``model`` is a fitted model on features, or a ``scoring_pipeline``."""
     scored = with_score(model, df, "_risk")
     return scored.select(
         *df.columns,
@@ -132,6 +135,13 @@ def risk_scores(df: DataFrame, model: Transformer, threshold: float = 0.02, name
     )
 
 
+def scoring_pipeline(model: Transformer, names: Sequence[str], scaling: Scaling | None = None) -> PipelineModel:
+    """Plain columns to probability: scaling, assembly and model as one thing to save, load and apply."""
+    stages = [scaling_stage(scaling, suffix=SCALED)] if scaling else []
+    inputs = [c + SCALED if scaling and c in scaling else c for c in names]
+    return PipelineModel([*stages, VectorAssembler(inputCols=inputs, outputCol=FEATURES), model])
+
+
 def save_model(stages: Sequence[Transformer], path: str) -> None:
     PipelineModel(list(stages)).write().overwrite().save(path)
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Where to keep it: a fitted scaling can be a stage of a stored pipeline, see ``scaling_stage``.
 Scaling = dict[str, tuple[float, float]]
 
 
@@ -22,3 +24,13 @@ def scale(df: DataFrame, scaling: Scaling, suffix: str = "") -> DataFrame:
     return df.withColumns(
         {c + suffix: (F.col(c).cast("double") - F.lit(mean)) / F.lit(sd) for c, (mean, sd) in scaling.items()}
     )
+
+
+def scaling_stage(scaling: Scaling, suffix: str = "") -> SQLTransformer:
+    """The same scaling as a pipeline stage, which is saved and loaded with the model behind it.
+
+    Without a suffix the scaled values replace the columns.
+    """
+    scaled = [f"(CAST(`{c}` AS DOUBLE) - {mean!r}D) / {sd!r}D AS `{c}{suffix}`" for c, (mean, sd) in scaling.items()]
+    rest = "*" if suffix else f"* EXCEPT ({', '.join(f'`{c}`' for c in scaling)})"
+    return SQLTransformer(statement=f"SELECT {rest}, {', '.join(scaled)} FROM __THIS__")

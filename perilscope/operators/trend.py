@@ -22,8 +22,7 @@ SIGNIFICANT = 0.05
 
 # Candidate slopes per search round, and the relative width at which the search ends.
 FANOUT = 31
-TOLERANCE = 1e-13
-MAX_ROUNDS = 40
+TOLERANCE = 1e-14
 
 
 def _median(values: Column) -> Column:
@@ -103,17 +102,22 @@ def _search_slopes(points: DataFrame, keys: list[str]) -> DataFrame:
     """Median of all pair slopes per series without forming pairs.
 
     ``slope(i, j) <= m`` exactly when ``x - m t`` does not grow from i to j, so the number of slopes up to m
-    is an inversion count. Both middle ranks are searched between bounds that halve ``FANOUT + 1``-fold.
+    is an inversion count. Falling and level pairs are counted first: a rank among the level ones has slope 0
+    exactly, the others are searched on one side of 0. The bounds there narrow ``FANOUT + 1``-fold in each round, until
+    they agree to ``TOLERANCE`` of the slope; that takes some ten rounds more than the slope is powers of 32 below the bound.
     """
     spread = F.max("x") - F.min("x")
     pairs = F.count(F.lit(1)) * (F.count(F.lit(1)) - 1) / 2
-    state = points.groupBy(*keys).agg((-spread - 1).alias("low"), (spread + 1).alias("high"), pairs.alias("pairs"))
+    level = inversions(points, keys, "t", "x").select(*keys, "inverted", "tied_pairs")
+    state = points.groupBy(*keys).agg((spread + 1).alias("bound"), pairs.alias("pairs")).join(level, keys)
     ranks = F.array(F.floor((F.col("pairs") + 1) / 2), F.floor((F.col("pairs") + 2) / 2))
-    state = cut_lineage(state.select(*keys, "low", "high", F.explode(F.array_distinct(ranks)).alias("rank")))
-    wide = F.col("high") - F.col("low") > TOLERANCE * F.greatest(F.abs("low"), F.abs("high"), F.lit(1e-300))
-    for _ in range(MAX_ROUNDS):
-        if state.filter(wide).isEmpty():
-            break
+    state = state.select("*", F.explode(F.array_distinct(ranks)).alias("rank"))
+    falling = F.col("rank") <= F.col("inverted")
+    rising = F.col("rank") > F.col("inverted") + F.col("tied_pairs")
+    low, high = F.when(falling, -F.col("bound")).otherwise(0.0), F.when(rising, F.col("bound")).otherwise(0.0)
+    state = cut_lineage(state.select(*keys, low.alias("low"), high.alias("high"), "rank"))
+    wide = F.col("high") - F.col("low") > TOLERANCE * F.greatest(F.abs("low"), F.abs("high"))
+    while not state.filter(wide).isEmpty():
         step = (F.col("high") - F.col("low")) / (FANOUT + 1)
         tried = state.filter(wide).select(
             *keys, "rank", "low", "high", F.explode(F.sequence(F.lit(1), F.lit(FANOUT))).alias("i"), step.alias("step")
@@ -134,10 +138,16 @@ def _search_slopes(points: DataFrame, keys: list[str]) -> DataFrame:
     return state.groupBy(*keys).agg(F.avg((F.col("low") + F.col("high")) / 2).alias("slope"))
 
 
+def _from_zero(points: DataFrame, keys: list[str]) -> DataFrame:
+    """Periods counted from the first one of the series, which keeps ``x - m t`` short of digits lost to large t."""
+    first = points.groupBy(*keys).agg(F.min("t").alias("_first"))
+    return cut_lineage(points.join(first, keys).withColumn("t", F.col("t") - F.col("_first")).drop("_first"))
+
+
 def _long_statistics(series: DataFrame, keys: Sequence[str], period: str, value: str) -> DataFrame:
     keys = list(keys)
     points = cut_lineage(series.select(*keys, F.col(period).cast("double").alias("t"), F.col(value).cast("double").alias("x")))
-    found = inversions(points, keys, "t", "x")
+    found = cut_lineage(inversions(points, keys, "t", "x"))
     medians = exact_quantiles(points, ["x", "t"], [0.5], keys).groupBy(*keys)
     medians = medians.agg(
         F.max(F.when(F.col("column_name") == "x", F.col("p0"))).alias("median_value"),
@@ -147,7 +157,7 @@ def _long_statistics(series: DataFrame, keys: Sequence[str], period: str, value:
     s = (n * (n - 1) / 2).cast("bigint") - F.col("tied_pairs") - 2 * F.col("inverted")
     return (
         found.select(*keys, "n", s.alias("s"), "tie_term")
-        .join(_search_slopes(points, keys), keys)
+        .join(_search_slopes(_from_zero(points, keys), keys), keys, "left")
         .join(medians, keys)
     )
 
@@ -160,6 +170,8 @@ def mann_kendall(
     series = cut_lineage(series.select(*keys, period, value))
     lengths = series.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     longest = lengths.agg(F.max("_n")).first()[0] or 0
+    if longest > short and not series.filter(F.col(period).cast("double") % 1 != 0).isEmpty():
+        raise ValueError(f"{period} has to hold whole numbers")
     if longest <= short:
         base = _short_statistics(series, keys, period, value)
     else:

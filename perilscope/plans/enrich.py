@@ -9,14 +9,16 @@ from perilscope.functions.scalars import county_key, decade
 from perilscope.operators.joins import lookup_join, one_row_per_key
 from perilscope.vocab import DEFAULT_CUTOFFS, Cutoffs
 
-ENRICHED_COLUMNS = """
-event_id noaa_event_id noaa_episode_id event_year event_month begin_datetime end_datetime state state_fips
-county_zone_name county_zone_type event_type_raw event_type_group weather_forecast_office injuries_direct
-injuries_indirect deaths_direct deaths_indirect property_damage_usd crop_damage_usd tornado_f_scale
-tornado_length_miles tornado_width_yards magnitude magnitude_type hurricane_category episode_narrative
-event_narrative is_pre_standardization decade region property_damage_2024_usd crop_damage_2024_usd
-total_damage_usd total_damage_2024_usd cpi_deflator cpi_annual_avg population_density population_2020
-""".split()
+ENRICHED_COLUMNS = (
+    "event_id", "noaa_event_id", "noaa_episode_id", "event_year", "event_month", "begin_datetime", "end_datetime",
+    "state", "state_fips", "county_zone_name", "county_zone_type", "event_type_raw", "event_type_group",
+    "weather_forecast_office", "injuries_direct", "injuries_indirect", "deaths_direct", "deaths_indirect",
+    "property_damage_usd", "crop_damage_usd", "tornado_f_scale", "tornado_length_miles", "tornado_width_yards",
+    "magnitude", "magnitude_type", "hurricane_category", "episode_narrative", "event_narrative",
+    "is_pre_standardization", "decade", "region", "property_damage_2024_usd", "crop_damage_2024_usd",
+    "total_damage_usd", "total_damage_2024_usd", "cpi_deflator", "cpi_annual_avg", "population_density",
+    "population_2020",
+)
 
 
 def attach_groups(events: DataFrame, groups: DataFrame) -> DataFrame:

@@ -167,10 +167,11 @@ def surprise_states(risk: DataFrame, jump: float = 20.0) -> DataFrame:
     )
 
 
-MART_INPUTS = """
-event_year event_type_group state region decade is_pre_standardization deaths_direct injuries_direct
-property_damage_2024_usd crop_damage_2024_usd total_damage_usd total_damage_2024_usd
-""".split()
+MART_INPUTS = (
+    "event_year", "event_type_group", "state", "region", "decade", "is_pre_standardization", "deaths_direct",
+    "injuries_direct", "property_damage_2024_usd", "crop_damage_2024_usd", "total_damage_usd",
+    "total_damage_2024_usd",
+)
 
 
 def build_marts(enriched: DataFrame, cutoffs: Cutoffs = DEFAULT_CUTOFFS) -> dict[str, DataFrame]:

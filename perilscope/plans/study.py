@@ -192,8 +192,8 @@ def damage_tier_model(frame: DataFrame, setup: Setup):
 def two_stage_model(frame: DataFrame, setup: Setup) -> tuple[models.TwoStage, DataFrame]:
     """Screen for any death, then minor against critical on what the screen flags.
 
-    Both cut-offs are the best F1 on the test years, the second one among flagged rows. Rows without deaths
-    that the screen flags count as minor.
+    Both cut-offs are the best F1 on training rows held out from both fits, the second one among flagged rows. Rows
+    without deaths that the screen flags count as minor.
     """
     names = setup.feature_names(TIER_NUMERIC)
     staged = frame.withColumns(
@@ -203,11 +203,12 @@ def two_stage_model(frame: DataFrame, setup: Setup) -> tuple[models.TwoStage, Da
         }
     )
     train, test = ft.split_by_year(cut_lineage(ft.assemble(staged, names)), setup.last_train_year)
-    first_train = ft.danger_weights(train, "event_type_group", "any_death")
+    fitting, held_out = calibration_slice(train)
+    first_train = ft.danger_weights(fitting, "event_type_group", "any_death")
     first = models.fit_boosted(first_train, "any_death", "weight", rounds=setup.rounds, step=0.05)
-    second_train = ft.balanced_weights(train.filter(F.col("any_death") == 1), "critical")
+    second_train = ft.balanced_weights(fitting.filter(F.col("any_death") == 1), "critical")
     second = models.fit_boosted(second_train, "critical", "weight", rounds=setup.rounds, step=0.05)
-    screened = cut_lineage(models.with_score(second, models.with_score(first, test, "p1"), "p2"))
+    screened = cut_lineage(models.with_score(second, models.with_score(first, held_out, "p1"), "p2"))
     t1 = _best_f1(screened, "p1", "any_death")
     flagged = screened.filter(F.col("p1") >= t1)
     return models.TwoStage(first, second, t1, _best_f1(flagged, "p2", "critical")), test

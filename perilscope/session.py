@@ -46,16 +46,6 @@ def shuffle_width(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 1)
 
 
-def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer splits than the session has cores, e.g. one small single-block file.
-
-    A large table already has more splits than cores and is returned as it is: no shuffle is added. Rows are
-    dealt by the hash of all columns, which needs no sort and puts a row in the same place on every attempt.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *df.columns) if df.rdd.getNumPartitions() < cores else df
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints; only an unset local run gets one of its own."""
     context = spark.sparkContext

@@ -90,18 +90,17 @@ def loaded_years(spark: SparkSession, table: str) -> DataFrame:
         return spark.createDataFrame([], "year bigint")
 
 
-def write_years(events: DataFrame, table: str, splits_per_year: int = 1) -> None:
+def write_years(events: DataFrame, table: str) -> None:
     """Replace exactly the years present in ``events``; other years keep their files.
 
     New files are staged and swapped in at commit, so a failed job leaves the old year in place and a repeated
-    job changes nothing. Rows of one year are spread over ``splits_per_year`` writers.
+    job changes nothing. Rows are dealt to writers by ranges of (year, state, type, event): a year gets as many writers
+    as its share of the rows, and each writer has few states.
     """
-    spread = F.pmod(F.xxhash64("EVENT_ID", "EPISODE_ID"), F.lit(splits_per_year))
+    order = ("YEAR", *CLUSTER_BY)
     (
-        events.withColumn("_part", spread)
-        .repartition("YEAR", "_part")
-        .sortWithinPartitions("YEAR", *CLUSTER_BY)
-        .drop("_part")
+        events.repartitionByRange(*order, F.xxhash64("EVENT_ID", "EPISODE_ID"))
+        .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("YEAR")
@@ -116,7 +115,6 @@ def load_events(
     current_year: int,
     year: int | None = None,
     min_year: int = DEFAULT_CUTOFFS.min_year,
-    splits_per_year: int = 8,
 ) -> list[int]:
     """List, choose versions, plan, read and replace the planned years. Returns the years written.
 
@@ -129,5 +127,5 @@ def load_events(
         wanted = files.select("year").filter(F.col("year") == year)
     chosen = [(r.year, r.path) for r in files.join(wanted, "year", "left_semi").orderBy("year").collect()]
     if chosen:
-        write_years(read_events(spark, *[path for _, path in chosen]), table, splits_per_year)
+        write_years(read_events(spark, *[path for _, path in chosen]), table)
     return [y for y, _ in chosen]

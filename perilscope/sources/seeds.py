@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from perilscope.vocab import STATE_REGIONS, STATES, TYPE_GROUPS, TYPES_BY_GROUP
+from perilscope.vocab import STATE_REGIONS, STATES, TYPE_GROUP_ROWS, TYPE_GROUPS
 
 
 def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -31,8 +31,7 @@ def fixed_rows(spark: SparkSession, rows: Iterable[tuple], schema: T.StructType)
 
 
 def type_groups(spark: SparkSession) -> DataFrame:
-    rows = [(raw, group) for group, raws in TYPES_BY_GROUP.items() for raw in raws]
-    return fixed_rows(spark, rows, TYPE_GROUPS)
+    return fixed_rows(spark, TYPE_GROUP_ROWS, TYPE_GROUPS)
 
 
 def state_regions(spark: SparkSession) -> DataFrame:

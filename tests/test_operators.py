@@ -82,12 +82,26 @@ def test_trend_both_routes_match_brute_force(spark):
             assert (row.n, row.s) == (len(points), s)
             assert row.var_s == pytest.approx(var) and row.z == pytest.approx(z)
             assert row.p == pytest.approx(p, abs=3e-7)
-            assert row.slope == pytest.approx(slope, rel=1e-9, abs=1e-9)
+            assert row.slope == pytest.approx(slope, rel=1e-12, abs=1e-300)
             assert row.intercept == pytest.approx(intercept, rel=1e-6, abs=1e-6)
         assert found["up"].trend == "increasing" and found["down"].trend == "decreasing"
         assert found["flat"].trend == "no trend" and found["flat"].s == 0
 
 
+def test_zero_median_slope_is_exact_on_both_routes(spark):
+    frame = series_frame(spark, {"zigzag": [(t, t % 2) for t in range(12)], "late": [(2000 + t, 0 if t < 9 else -t) for t in range(12)]})
+    for short in (512, 5):
+        found = {r.k: r for r in trend.mann_kendall(frame, ["k"], "t", "x", short=short).collect()}
+        assert found["zigzag"].slope == 0.0 and found["zigzag"].intercept == 0.5
+        assert found["late"].slope == 0.0
+
+
+def test_long_route_wants_whole_periods(spark):
+    frame = spark.createDataFrame([("a", t / 2, 1.0) for t in range(8)], "k string, t double, x double")
+    with pytest.raises(ValueError, match="whole"):
+        trend.mann_kendall(frame, ["k"], "t", "x", short=4)
+
+
 def test_trend_is_antisymmetric_and_handles_one_point(spark):
     points = [(t, (t * 37) % 11) for t in range(15)]
     mirrored = [(14 - t, x) for t, x in points]

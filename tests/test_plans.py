@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from perilscope.operators import explain, metrics, models, quality
 from perilscope.operators import features as ft
+from perilscope.operators.scaling import fit_scaling, scale
 from perilscope.plans import enrich, marts, study
 from verification.fixture import CUTOFFS, GROUP_OF_TYPE, Fixture
 from verification.modelling import SETUP
@@ -98,6 +99,32 @@ def test_model_and_card_survive_storage(spark, weighted, scratch):
     assert spark.read.json(f"{scratch}/card").first().asDict() == {"model": "gbt", "threshold": 0.97, "features": len(names)}
 
 
+def test_scaling_is_saved_with_a_logistic_model(spark, scratch):
+    rows = [(float(n % 2), float(n % 13) * 100 + (n % 2) * 300, float(n % 7)) for n in range(200)]
+    frame = spark.createDataFrame(rows, "y double, a double, b double")
+    names = ["a", "b"]
+    scaling = fit_scaling(frame, ["a"])
+    model = models.fit_logistic(ft.assemble(scale(frame, scaling), names), "y")
+    models.save_model([models.scoring_pipeline(model, names, scaling)], f"{scratch}/model")
+    again = models.risk_scores(frame, models.load_model(f"{scratch}/model"), threshold=0.5, name="lr")
+    direct = models.with_score(model, ft.assemble(scale(frame, scaling), names), "p")
+    want = sorted(round(r["p"], 4) for r in direct.collect())
+    assert sorted(r["fatality_risk"] for r in again.collect()) == pytest.approx(want)
+    assert again.columns == ["y", "a", "b", "fatality_risk", "is_high_risk", "model", "threshold"]
+
+
+def test_permutation_importance_does_not_depend_on_the_session(spark):
+    rows = [(float(n % 3 == 0), float((n * 7) % 11 + (n % 3 == 0) * 4), float(n % 5)) for n in range(400)]
+    frame = spark.createDataFrame(rows, "y double, a double, b double")
+    found = []
+    for parts in (3, 7):
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        score = lambda df: df.withColumn("p", F.col("a") / 20 + F.col("b") / 1000)
+        found.append(sorted(tuple(r) for r in explain.permutation_importance(frame.repartition(parts), ["a", "b"], "y", score).collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert found[0] == found[1] and len(found[0]) == 2
+
+
 def test_risk_scores_take_unknown_categories(spark, weighted):
     model, _, _, names = weighted
     raw = spark.createDataFrame([("VOLCANO", "MARS", 2000, 7), ("HURRICANE", "ASIA", 2000, 7)], "event_type_group string, region string, decade int, event_month int")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perilscope.plans import enrich, staging
-from perilscope.session import prepare, spread_if_narrow
+from perilscope.session import prepare
 from perilscope.sources.events import conform
 from perilscope.sources.prices import with_deflator
 from perilscope.sources.seeds import fixed_rows
@@ -27,7 +27,7 @@ FIXTURE_REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 
 
 def raw_events(line: DataFrame, orders: DataFrame, customer: DataFrame, nation: DataFrame, part: DataFrame) -> DataFrame:
-    line = spread_if_narrow(line.select(*LINE_COLUMNS))
+    line = line.select(*LINE_COLUMNS)
     joined = (
         line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))

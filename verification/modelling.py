@@ -429,7 +429,7 @@ def model_study_comparison(f: Fixture) -> DataFrame:
 def sample_test_rows(f: Fixture) -> DataFrame:
     frame = study.fatality_frame(f.enriched, SETUP)
     _, test = ft.split_by_year(frame, SETUP.last_train_year)
-    return sampling.seeded_sample(test, ["event_id", "event_month", "state"], 2000)
+    return sampling.seeded_sample(test, ["event_id", "event_month", "state", "event_type_group", "region"], 2000)
 
 
 @query(

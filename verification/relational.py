@@ -569,8 +569,8 @@ SELECT event_year, state_raw AS state, event_type_raw AS event_type, count(*) AS
 def load_partitioned_table(f: Fixture) -> DataFrame:
     """Write the raw table by year, replace one year with itself, read everything back."""
     table = _scratch(f, "raw")
-    event_files.write_years(f.raw, table, splits_per_year=2)
-    event_files.write_years(f.raw.filter("YEAR = 1999"), table, splits_per_year=2)
+    event_files.write_years(f.raw, table)
+    event_files.write_years(f.raw.filter("YEAR = 1999"), table)
     stored = warehouse.read_table(f.spark, table)
     return stored.groupBy(
         F.col("YEAR").alias("event_year"), F.col("STATE").alias("state"), F.col("EVENT_TYPE").alias("event_type")
@@ -602,14 +602,14 @@ def source_event_files(f: Fixture) -> DataFrame:
     )
 
 
-@query("sample_seeded")
+@query("sample_seeded", "SELECT * FROM events ORDER BY md5('42:' || event_id), event_id LIMIT 500")
 def sample_seeded(f: Fixture) -> DataFrame:
     return sampling.seeded_sample(f.table("events"), ["event_id"], 500)
 
 
-@query("sample_peek")
+@query("sample_peek", "SELECT * FROM events ORDER BY event_id LIMIT 5")
 def sample_peek(f: Fixture) -> DataFrame:
-    return sampling.peek(f.table("events"), 5)
+    return sampling.peek(f.table("events"), ["event_id"], 5)
 
 
 # --- data quality --------------------------------------------------------------------------------

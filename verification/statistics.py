@@ -44,7 +44,7 @@ SELECT {keys}, n, CASE WHEN p < 0.05 AND z > 0 THEN 'increasing' WHEN p < 0.05 A
 FROM p WHERE {first} IS NOT NULL"""
 
 
-def _rounded(found: DataFrame, digits: int = 6) -> DataFrame:
+def rounded_trend(found: DataFrame, digits: int = 6) -> DataFrame:
     return found.withColumns({c: F.round(c, digits) for c in ("p", "z", "tau", "var_s", "slope", "intercept")})
 
 
@@ -58,7 +58,7 @@ def trend_state_years(f: Fixture) -> DataFrame:
     """Event frequency per state and year."""
     series = f.staged.filter(F.col("state").isNotNull()).groupBy("state", "event_year")
     series = series.agg(F.count(F.lit(1)).alias("events"))
-    return _rounded(trend.mann_kendall(series, ["state"], "event_year", "events"))
+    return rounded_trend(trend.mann_kendall(series, ["state"], "event_year", "events"))
 
 
 _MONTHS = trend_sql("p_type, measure").partition("\nSELECT p_type, measure, n")
@@ -86,7 +86,7 @@ def trend_type_months(f: Fixture) -> DataFrame:
         F.round(total / F.count(F.lit(1)), 4).alias("mean_price"),
     )
     series = monthly.unpivot(["p_type", "t"], ["events", "mean_price"], "measure", "x")
-    return _rounded(trend.mann_kendall(series, ["p_type", "measure"], "t", "x"))
+    return rounded_trend(trend.mann_kendall(series, ["p_type", "measure"], "t", "x"))
 
 
 @query(
