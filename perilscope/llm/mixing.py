@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from perilscope.llm.ranking import bucket_count, leading_share, running, shuffle_key
 from perilscope.llm.text import ROW_KEY, attach, with_row_key, words
-from perilscope.session import cut_lineage
+from perilscope.session import cut_lineage, shuffle_width
 
 WEIGHTS = (1, 2, 3)
 BLOCK_WORDS = 32
@@ -131,7 +131,9 @@ def numbered(df: DataFrame, count: str, out: str, piece: int = 1 << 16) -> DataF
     spread = df.filter(F.col(count) > 0).select("*", pieces.alias("_piece"))
     first = F.col("_piece") * piece
     numbers = F.sequence(first, F.least(first + piece, F.col(count)) - 1)
-    return spread.repartition(*SOURCE, "_piece").select("*", F.explode(numbers).alias(out)).drop("_piece")
+    # A stated width, as AQE would put the few rows that are still to be multiplied into one task.
+    dealt = spread.repartition(shuffle_width(df.sparkSession), *spread.columns)
+    return dealt.select("*", F.explode(numbers).alias(out)).drop("_piece")
 
 
 def draw_counts(sources: DataFrame, shard_blocks: int, seed: int) -> DataFrame:

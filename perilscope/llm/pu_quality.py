@@ -94,7 +94,7 @@ def measures(part, borders: np.ndarray) -> np.ndarray:
             first = np.unique(np.concatenate([[a], np.searchsorted(part.starts, cut)]))
             first = first[first < b]
             size = np.diff(np.append(first, b))
-            whole = np.array([part.spans(np.array([f]), int(s))[0] for f, s in zip(first, size)])
+            whole = part.spans(first, size)
             line_repeats[t] = 1 - len(np.unique(whole)) / len(whole)
     columns = (
         np.log1p(n), word_bytes / least, np.sqrt(symbols / least), np.sqrt(shouts / least), np.sqrt(bars / least),
