@@ -34,10 +34,10 @@ HOST = ["_no_host", "_host"]
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def word_windows(words: Column, window: int) -> Column:
-    """A hash for each run of ``window`` words, by its first word."""
-    starts = F.sequence(F.lit(1), F.greatest(F.size(words) - (window - 1), F.lit(1)))
-    return F.transform(starts, lambda i: F.xxhash64(*[F.get(words, i + (k - 1)) for k in range(window)]))
+def word_windows(hashes: Column, window: int) -> Column:
+    """A hash for each run of ``window`` words, by its first word, from the hashes of the words."""
+    starts = F.sequence(F.lit(0), F.greatest(F.size(hashes) - window, F.lit(0)))
+    return F.transform(starts, lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(window)]))
 
 
 def measure(docs: DataFrame, host: str = "source") -> DataFrame:
@@ -59,10 +59,11 @@ def measure(docs: DataFrame, host: str = "source") -> DataFrame:
             "word_chars": F.char_length("_solid").cast("bigint"),
             "n_symbols": (F.char_length("_solid") - F.char_length(F.translate("_solid", SYMBOLS, ""))).cast("bigint"),
             "n_dup_lines": (F.size("_raw") - F.size(F.array_distinct("_raw"))).cast("bigint"),
-            "_windows": F.when(F.size("_words") > WINDOW, word_windows(F.col("_words"), WINDOW)),
+            "_hashes": F.transform("_words", lambda word: F.xxhash64(word)),
             "_lines": F.transform("_raw", lambda line: F.struct(line_hash(line).alias("line"), F.size(words(line)).alias("words"))),
         }
     )
+    base = base.withColumn("_windows", F.when(F.size("_hashes") > WINDOW, word_windows(F.col("_hashes"), WINDOW)))
     # Pairs are sorted only where some window occurs twice; for other texts the distinct count settles it.
     again = F.size("_windows") > F.size(F.array_distinct("_windows"))
     pair = F.transform("_windows", lambda value, i: F.struct(value.alias("h"), i.alias("i")))
@@ -80,7 +81,7 @@ def measure(docs: DataFrame, host: str = "source") -> DataFrame:
     covered = F.aggregate(F.transform("_starts", fresh), F.lit(0), lambda total, part: total + part)
     base = base.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("bigint"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
-    narrow = base.withColumn("base_failed", failed).drop("_words", "_solid", "_raw", "_windows", "_pairs", "_starts")
+    narrow = base.withColumn("base_failed", failed).drop("_words", "_hashes", "_solid", "_raw", "_windows", "_pairs", "_starts")
     return with_row_key(narrow).drop("text", "source")
 
 
