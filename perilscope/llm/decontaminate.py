@@ -67,7 +67,7 @@ def sketch_hits(docs: DataFrame, index: DataFrame, keys: list[str], words_each:
 
 def verified(docs: DataFrame, hits: DataFrame, index: DataFrame, keys: list[str], words_each: int = SHINGLE) -> DataFrame:
     """keys, item_id, n_shared, n_item: pairs whose shared shingles reach the containment, from the full sets."""
-    texts = docs.join(hits.select(*keys).distinct(), keys, "left_semi")
+    texts = docs.join(broadcast_if_few(hits.select(*keys).distinct()), keys, "left_semi")
     rows = with_shingles(texts, words_each).select(*keys, F.explode_outer("_shingles").alias("shingle"))
     entries = index.select("item_id", "shingle", "size", "need")
     shared = rows.join(broadcast_if_few(entries), "shingle").groupBy(*keys, "item_id").agg(

@@ -304,4 +304,4 @@ def keep_one(
 ) -> DataFrame:
     """The documents that stay: all but those whose group has a smaller doc_id. Columns as before."""
     dropped = near_duplicates(docs, words_each, similarity).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(broadcast_if_few(cut_lineage(dropped)), "doc_id", "left_anti").select(*docs.columns)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from perilscope.session import cut_lineage
+
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -69,4 +71,5 @@ def attach(docs: DataFrame, decided: DataFrame) -> DataFrame:
 
 def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """The rows of ``docs``, unchanged, that aren't in ``rejected`` (the first three columns of ``ROW_KEY``)."""
-    return with_row_hash(packed(docs)).join(rejected, ROW_KEY[:3], "left_anti").select("_doc.*")
+    few = broadcast_if_few(cut_lineage(rejected))
+    return with_row_hash(packed(docs)).join(few, ROW_KEY[:3], "left_anti").select("_doc.*")
