@@ -63,7 +63,7 @@ def source_price_series(f: Fixture) -> DataFrame:
     """WITH people AS (
   SELECT c_nationkey AS k, c_mktsegment AS seg, count(*) AS n FROM customer GROUP BY ALL
 )
-SELECT 'N' || k AS state_abbrev, seg AS county_name, n_name AS state_name, CAST(n AS BIGINT) AS population_2020,
+SELECT 'N' || k AS state_abbrev, lower(seg) AS county_name, n_name AS state_name, CAST(n AS BIGINT) AS population_2020,
        CAST(k + 10.5 AS DOUBLE) AS land_area_sqmi, round(n / CAST(k + 10.5 AS DOUBLE), 4) AS population_density
 FROM people JOIN nation ON n_nationkey = k WHERE seg <> 'MACHINERY'""",
 )
