@@ -2,8 +2,8 @@
 
 Neighbours are found without pairing all rows. Equal points are merged and carry a multiplicity. Points are
 ordered by a one-dimensional projection whose differences never exceed the true distance, and cut into blocks
-of at most ``BLOCK`` points. A point looks at its own block, then at the next blocks outwards, until no
-unseen block can hold a nearer point. Each task compares one block with one block.
+of at most ``BLOCK`` points. A point looks at its own block and the two beside it, and then at the blocks whose box is
+within the distance found so far. Each task compares one block with one block.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perilscope.functions.scalars import hash_fraction
@@ -76,49 +76,77 @@ def _nearest(found: DataFrame, k: int) -> DataFrame:
     return grouped.withColumn("kth", F.get(enough, F.lit(0))["distance"])
 
 
+def _block_bounds(points: DataFrame, dimensions: int) -> DataFrame:
+    """block, low and high of the projection, and the box around its points (least, most)."""
+    sides = {
+        name: F.array(*[side(F.get("x", F.lit(i))) for i in range(dimensions)]).alias(name)
+        for name, side in (("least", F.min), ("most", F.max))
+    }
+    return points.groupBy("block").agg(F.min("p").alias("low"), F.max("p").alias("high"), *sides.values())
+
+
+def _compared(points: DataFrame, asking: DataFrame, k: int) -> DataFrame:
+    """The k + 1 nearest points that each asking row (id, x, block, other_block) finds in its other block."""
+    wanted = asking.select("block", "other_block").distinct()
+    offered = points.select(F.col("block").alias("other_block"), F.col("id").alias("other"), "copies", F.col("x").alias("y"))
+    offered = offered.join(wanted, "other_block").select(
+        F.col("block").alias("a_block"), F.col("other_block").alias("b_block"), "other", "copies", "y"
+    )
+    pairs = asking.select("block", "other_block", "id", "x").groupBy("block", "other_block")
+    return pairs.cogroup(offered.groupBy("a_block", "b_block")).applyInPandas(_compare_blocks(k), FOUND)
+
+
+def _blocks_within(bounds: DataFrame, radius: DataFrame) -> DataFrame:
+    """(block, other_block, least, most): blocks whose box is within the radius of the box of another one.
+
+    Blocks are in projection order, so those within a radius along it are one run of numbers; its ends are found by counting
+    over the block borders (one row per block). Boxes then drop what only looks near along the projection.
+    """
+    reach = bounds.join(radius, "block")
+    sought = reach.select("block", (F.col("low") - F.col("radius")).alias("from"), (F.col("high") + F.col("radius")).alias("to"))
+    marks = bounds.select(F.col("high").alias("v"), F.lit(1).alias("first"), F.lit(0).alias("last"), F.lit(2).alias("kind"), F.lit(None).cast("bigint").alias("block"))
+    marks = marks.union(bounds.select("low", F.lit(0), F.lit(1), F.lit(0), F.lit(None).cast("bigint")))
+    marks = marks.union(sought.select("from", F.lit(0), F.lit(0), F.lit(1), "block")).union(sought.select("to", F.lit(0), F.lit(0), F.lit(1), "block"))
+    along = Window.orderBy("v", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = marks.withColumns({"first": F.sum("first").over(along), "last": F.sum("last").over(along)})
+    ends = counted.filter("kind = 1").groupBy("block").agg(F.min("first").alias("first"), (F.max("last") - 1).alias("last"))
+    runs = ends.select("block", F.explode(F.sequence("first", "last")).alias("other_block"))
+    runs = runs.filter(F.abs(F.col("block") - F.col("other_block")) > 1)
+    mine = reach.select("block", "radius", F.col("least").alias("a_least"), F.col("most").alias("a_most"))
+    theirs = bounds.select(F.col("block").alias("other_block"), "least", "most")
+    paired = runs.join(mine, "block").join(theirs, "other_block")
+    return paired.filter(_gap("a_least", "a_most", "least", "most") <= F.col("radius")).select("block", "other_block", "least", "most")
+
+
+def _gap(a_least: str, a_most: str, b_least: str, b_most: str) -> Column:
+    """Distance between two boxes; a point is a box of its own. Shortened by a trifle, so that rounding loses nothing."""
+    apart = F.zip_with(
+        F.arrays_zip(F.col(a_least).alias("l"), F.col(a_most).alias("m")),
+        F.arrays_zip(F.col(b_least).alias("l"), F.col(b_most).alias("m")),
+        lambda a, b: F.greatest(b["l"] - a["m"], a["l"] - b["m"], F.lit(0.0)),
+    )
+    return F.sqrt(F.aggregate(apart, F.lit(0.0), lambda total, d: total + d * d)) * (1 - 1e-12)
+
+
 def nearest_points(points: DataFrame, k: int) -> DataFrame:
-    """(id, near): exact k nearest rows of every merged point."""
-    bounds = points.groupBy("block").agg(F.min("p").alias("low"), F.max("p").alias("high"))
-    bounds = cut_lineage(bounds)
-    blocks = bounds.count()
-    open_points = points.select("id", "block", "p", "x")
-    found = None
-    resolved = []
-    for ring in range(blocks):
-        steps = [0] if ring == 0 else [-ring, ring]
-        asking = open_points.withColumn("other_block", F.explode(F.array(*[F.col("block") + s for s in steps])))
-        asking = asking.filter(F.col("other_block").between(0, blocks - 1))
-        wanted = asking.select("block", "other_block").distinct()
-        offered = points.select(
-            F.col("block").alias("other_block"), F.col("id").alias("other"), "copies", F.col("x").alias("y")
-        )
-        offered = offered.join(wanted, "other_block").select(
-            F.col("block").alias("a_block"), F.col("other_block").alias("b_block"), "other", "copies", "y"
-        )
-        pairs = asking.select("block", "other_block", "id", "x").groupBy("block", "other_block")
-        fresh = pairs.cogroup(offered.groupBy("a_block", "b_block")).applyInPandas(_compare_blocks(k), FOUND)
-        if found is not None:
-            kept = found.select("id", F.inline("near")).select("id", "other", "copies", "distance")
-            fresh = fresh.unionByName(kept)
-        found = cut_lineage(_nearest(fresh, k))
-        left = bounds.select((F.col("block") + ring + 1).alias("block"), F.col("high").alias("left"))
-        right = bounds.select((F.col("block") - ring - 1).alias("block"), F.col("low").alias("right"))
-        judged = open_points.join(found, "id").join(left, "block", "left").join(right, "block", "left")
-        gap = F.least(
-            F.coalesce(F.col("p") - F.col("left"), F.lit(float("inf"))),
-            F.coalesce(F.col("right") - F.col("p"), F.lit(float("inf"))),
-        )
-        done = F.coalesce(F.col("kth") <= gap, F.lit(False)) | (gap == F.lit(float("inf")))
-        judged = cut_lineage(judged.withColumn("_done", done))
-        resolved.append(judged.filter("_done").select("id", "near"))
-        open_points = judged.filter(~F.col("_done")).select("id", "block", "p", "x")
-        found = judged.filter(~F.col("_done")).select("id", "near", "kth")
-        if open_points.isEmpty():
-            break
-    union = resolved[0]
-    for part in resolved[1:]:
-        union = union.unionByName(part)
-    return union
+    """(id, near): exact k nearest rows of every merged point, in two comparisons whatever the data.
+
+    A point first looks at its own block and the two beside it. The distance that gives it k rows bounds where nearer ones can
+    be: only blocks whose box is within it are compared then.
+    """
+    dimensions = points.select(F.size("x").alias("n")).first()
+    bounds = cut_lineage(_block_bounds(points, dimensions["n"] if dimensions else 1))
+    steps = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))
+    beside = points.select("id", "x", "block", steps.alias("step")).withColumn("other_block", F.col("block") + F.col("step"))
+    beside = beside.join(bounds.select(F.col("block").alias("other_block")), "other_block", "left_semi")
+    near = cut_lineage(_nearest(_compared(points, beside, k), k))
+    bounded = points.select("id", "x", "block").join(near.select("id", "kth"), "id")
+    bounded = cut_lineage(bounded.withColumn("kth", F.coalesce("kth", F.lit(float("inf")))))
+    radius = bounded.groupBy("block").agg(F.max("kth").alias("radius"))
+    further = bounded.join(_blocks_within(bounds, radius), "block")
+    further = further.filter(_gap("x", "x", "least", "most") <= F.col("kth"))
+    found = near.select("id", F.inline("near")).select("id", "other", "copies", "distance")
+    return _nearest(_compared(points, cut_lineage(further.select("id", "x", "block", "other_block")), k).unionByName(found), k)
 
 
 def synthetic_rows(

@@ -201,6 +201,21 @@ def test_nearest_points_are_exact(spark, monkeypatch, spread):
         assert np.allclose(flat[:5], expected[tuple(row.x)])
 
 
+def test_tied_projections_take_no_more_rounds(spark, monkeypatch):
+    monkeypatch.setattr(resample, "BLOCK", 16)
+    rows = [(float(i), float(-i)) for i in range(300)]
+    points = resample._merged_points(spark.createDataFrame(rows, "a double, b double"), ["a", "b"])
+    calls = []
+    compared = resample._compared
+    monkeypatch.setattr(resample, "_compared", lambda *a: calls.append(1) or compared(*a))
+    near = resample.nearest_points(points, 3).join(points.select("id", "x"), "id").collect()
+    expected = brute_neighbours(rows, 3)
+    assert len(calls) == 2 and len(near) == 300
+    for row in near:
+        flat = [n["distance"] for n in row.near for _ in range(n["copies"] - (n["other"] == row.id))]
+        assert np.allclose(flat[:3], expected[tuple(row.x)])
+
+
 def test_synthetic_rows_lie_between_neighbours(spark):
     rng = np.random.default_rng(4)
     rows = [(float(v), float(w)) for v, w in rng.integers(0, 20, (60, 2))] + [(3.0, 3.0)] * 50
