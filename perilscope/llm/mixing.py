@@ -28,7 +28,7 @@ from perilscope.llm.text import ROW_KEY, attach, with_row_key, words
 from perilscope.session import cut_lineage, shuffle_width
 
 WEIGHTS = (1, 2, 3)
-BLOCK_WORDS = 32
+BLOCK_WORDS = 64
 SHARD_BLOCKS = 4096
 MAX_REPEAT = 3
 ROUNDS = 12

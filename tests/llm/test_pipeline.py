@@ -4,7 +4,7 @@ from collections import Counter
 from fractions import Fraction
 
 import corpus_pipeline
-from perilscope.llm import line_rules
+from perilscope.llm import line_rules, mixing
 from tests.llm.conftest import rows_of
 from tests.llm.test_native import containment, targets, words
 from tests.llm.test_near_dups import brute
@@ -36,7 +36,7 @@ def test_each_stage_on_its_own_input(spark, scratch):
     for r in clean:
         by_source[r["source"]] += taken[r["doc_id"]]
         sizes[r["source"]] += size[r["doc_id"]]
-    assert all(abs(by_source[s] - t) <= 32 for s, t in targets(sizes).items())
+    assert all(abs(by_source[s] - t) <= mixing.BLOCK_WORDS for s, t in targets(sizes).items())
     counts = Counter(r["shard"] for r in sharded)
     assert len(sharded) == len(mixed) and max(counts.values()) - min(counts.values()) <= 1
     assert sorted((r["doc_id"], r["text"]) for r in sharded) == sorted((r["doc_id"], r["text"]) for r in mixed)
