@@ -164,7 +164,8 @@ def test_mixture_meets_its_targets(spark):
     for r in taken:
         got[source[r["doc_id"]]] += r["taken"]
         assert r["target"] == pytest.approx(want[source[r["doc_id"]]], rel=1e-12)
-    assert all(abs(got[s] - t) <= mixing.BLOCK_WORDS for s, t in want.items())
+    # Half a block from rounding the slots, and up to one for the short last block, taken once more or less than the average.
+    assert all(abs(got[s] - t) <= 1.5 * mixing.BLOCK_WORDS for s, t in want.items())
     assert rows_of(mixing.taken_words(mixing.mix(docs, shard_blocks=64))) == rows_of(found)
     counts = mixed.counts.groupBy("shard").agg(F.sum("drawn").alias("n")).orderBy("shard").collect()
     assert all(r["n"] == 64 for r in counts[:-1]) and 0 < counts[-1]["n"] <= 64

@@ -36,7 +36,8 @@ def test_each_stage_on_its_own_input(spark, scratch):
     for r in clean:
         by_source[r["source"]] += taken[r["doc_id"]]
         sizes[r["source"]] += size[r["doc_id"]]
-    assert all(abs(by_source[s] - t) <= mixing.BLOCK_WORDS for s, t in targets(sizes).items())
+    # Half a block from rounding the slots, and up to one for the short last block, taken once more or less than the average.
+    assert all(abs(by_source[s] - t) <= 1.5 * mixing.BLOCK_WORDS for s, t in targets(sizes).items())
     counts = Counter(r["shard"] for r in sharded)
     assert len(sharded) == len(mixed) and max(counts.values()) - min(counts.values()) <= 1
     assert sorted((r["doc_id"], r["text"]) for r in sharded) == sorted((r["doc_id"], r["text"]) for r in mixed)
