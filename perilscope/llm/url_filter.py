@@ -3,7 +3,7 @@
 Rules come first: a rule ``host/path`` fits its host and all subdomains when the path of the url starts with the rule's;
 the longest fitting rule decides. Where none fits, an Aho-Corasick automaton finds the terms of the vocabulary in the url
 with A-Z in lower case. A hit counts only between boundaries: the characters next to it are no ASCII letters or digits.
-One strict term, or ``soft_limit`` distinct soft terms, block the url; anything else is allowed.
+One strict term, or ``soft_limit`` distinct soft terms, block the url; anything else is allowed. Forms of one word are one term.
 
 Rows are independent: one pass over the url column in Arrow batches, no shuffle, whatever the size of the input.
 
@@ -34,14 +34,57 @@ RULES = (
 
 # --- Vocabulary --------------------------------------------------------------------------------------
 
+# A term is a word, or its forms as (one|other): any of them is a hit, together they count as one term. Strict are words and
+# phrases that hardly stand in the address of an ordinary page; what has an ordinary sense too (adult education, track and
+# field) is soft.
+
+
+def joined(left: str, right: str) -> str:
+    """Phrases of a word of ``left`` and one of ``right``, with a hyphen, an underscore or nothing between, as one term."""
+    return "(" + "|".join(a + gap + b for a in left.split() for b in right.split() for gap in ("-", "_", "")) + ")"
+
+
 STRICT = (
-    "porn", "porno", "xxx", "hentai", "camgirls", "escorts", "casino", "viagra", "cialis", "warez", "torrent",
-    "phishing", "malware", "spam",
+    # adult
+    "(porn|porns|porno|pornos|pornstar|pornstars)", "(pornhub|xvideos|xhamster|xnxx|redtube|youporn|brazzers|chaturbate)", "(xxx|xxxx)",
+    "(hentai|hentais)", "(camgirl|camgirls|camboy|camboys|camwhore|camwhores)", "escorts", "(milf|milfs)",
+    "(blowjob|blowjobs|handjob|handjobs|gangbang|gangbangs|cumshot|cumshots|creampie|creampies)",
+    joined("adult adults", "x xx sex video videos film films movie movies cam cams webcam webcams chat chats site sites dating tube toy "
+           "toys star stars store stores shop shops pic pics photo photos pictures stories game games personals entertainment hookup "
+           "hookups friendfinder"),
+    joined("sex sexy", "x cam cams chat chats tube video videos movie movies pic pics shop shops toy toys site sites girl girls date dates"),
+    joined("x", "rated adult"),
+    # gambling
+    "(casino|casinos)", "(sportsbook|sportsbooks)", joined("free online", "slots poker bet bets betting roulette blackjack gambling bingo"),
+    # pharmacy
+    "(viagra|viagras)", "cialis", "(levitra|kamagra)", joined("online", "pharmacy pharmacies drugstore drugstores pills meds"),
+    # spam and software traps
+    "(warez|nulled)", "(torrent|torrents)", "(phishing|phisher|phishers)", "(malware|malwares)", "(keygen|keygens)",
+    "(spam|spams|spammed|spamming|spammy|spammer|spammers)",
 )
 SOFT = (
-    "ads", "adserver", "banner", "bet", "bonus", "cheap", "click", "coupon", "crack", "deals", "farm", "free", "gamble",
-    "jackpot", "loan", "lottery", "nude", "offer", "pills", "poker", "popup", "promo", "replica", "sex", "slots",
-    "sponsored", "track", "tracker", "win", "winner",
+    # adult
+    "(adult|adults)", "(sex|sexy)", "(nude|nudes|nudity|nudist|nudists)", "(naked)", "(erotic|erotica|erotics|erotik)",
+    "(fetish|fetishes)", "(webcam|webcams|cam|cams)", "(escort|escorting)", "(stripper|strippers|striptease)", "(swinger|swingers)",
+    "(hookup|hookups|dating)", "(hooker|hookers|whore|whores|slut|sluts)", "(bdsm|nsfw|onlyfans)", "(boob|boobs|tits)", "(anal)", "(lesbians|shemale|shemales)",
+    "(pornographic|pornography)",
+    # gambling
+    "(bet|bets|betting|bettor|bettors)", "(bonus|bonuses)", "(gamble|gambles|gambled|gambling|gambler|gamblers)", "(jackpot|jackpots)",
+    "(lottery|lotteries|lotto|lottos)", "(poker|pokers)", "(slot|slots)", "(win|wins|winning|winnings)", "(winner|winners)",
+    "(roulette|roulettes)", "(blackjack|baccarat)", "(bingo|bingos)", "(bookmaker|bookmakers|bookie|bookies)",
+    "(wager|wagers|wagered|wagering)", "(odds)", "(spins|freespins)", "(prize|prizes|sweepstake|sweepstakes)",
+    # pharmacy
+    "(pill|pills)", "(pharmacy|pharmacies|drugstore|drugstores)", "(meds|drugs)", "(steroid|steroids)",
+    "(sildenafil|tadalafil|phentermine|tramadol|xanax|ambien|oxycontin|valium)", "(weightloss|slimming)",
+    # spam
+    "(cheap|cheaper|cheapest)", "(crack|cracks|cracked)", "(deal|deals)", "(discount|discounts|discounted)", "(farm|farms)",
+    "(free|freebie|freebies)", "(loan|loans|payday)", "(offer|offers)", "(replica|replicas)", "(buy)", "(giveaway|giveaways)",
+    "(scam|scams|scammer|scammers)", "(backlink|backlinks)",
+    # adverts
+    "(ad|ads|adv|advert|adverts|advertise|advertiser|advertisers|advertising|advertisement|advertisements)",
+    "(adserver|adservers|adserving|adclick|adclicks|doubleclick)", "(banner|banners)", "(click|clicks|clickbait)",
+    "(coupon|coupons|voucher|vouchers)", "(popup|popups|popunder|popunders)", "(promo|promos|promotion|promotions|promotional|promocode|promocodes)",
+    "(sponsor|sponsors|sponsored|sponsoring)", "(track|tracks|tracked|tracking)", "(tracker|trackers)", "(affiliate|affiliates)",
 )
 SOFT_LIMIT = 2
 
@@ -51,7 +94,8 @@ def automaton(strict: tuple[str, ...], soft: tuple[str, ...]) -> ahocorasick.Aut
     found = ahocorasick.Automaton()
     for weight, terms in (("soft", soft), ("strict", strict)):
         for term in terms:
-            found.add_word(term, (weight, term))
+            for form in term.strip("()").split("|"):
+                found.add_word(form, (weight, term, len(form)))
     found.make_automaton()
     return found
 
@@ -63,8 +107,8 @@ def is_solid(char: str) -> bool:
 def hits(url: str, strict: tuple[str, ...], soft: tuple[str, ...]) -> tuple[set[str], set[str]]:
     """Distinct strict and soft terms between boundaries; ``url`` has A-Z in lower case."""
     seen: dict[str, set[str]] = {"strict": set(), "soft": set()}
-    for end, (weight, term) in automaton(strict, soft).iter(url):
-        start = end - len(term) + 1
+    for end, (weight, term, length) in automaton(strict, soft).iter(url):
+        start = end - length + 1
         if (start == 0 or not is_solid(url[start - 1])) and (end + 1 == len(url) or not is_solid(url[end + 1])):
             seen[weight].add(term)
     return seen["strict"], seen["soft"]
