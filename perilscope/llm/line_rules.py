@@ -2,8 +2,8 @@
 
 Base rules look at one text: too few words, or too many words in repeated 5-word windows. The method looks across
 documents: lines are normalised (A-Z to lower case, runs of white space to one space, trimmed) and hashed; for each host
-the distinct documents with that line are counted. A line above both limits (``least`` documents and ``share`` of the
-host's documents) is boilerplate and removed; a document that keeps under ``depleted`` of its words is rejected.
+the distinct texts with that line are counted, so that copies of a document count once. A line at ``least`` texts and above
+``share`` of the host's texts is boilerplate and removed; a document that keeps under ``depleted`` of its words is rejected.
 
 DataFrame operations only. Counts are hash aggregations with partial sums, so a hot host or line costs a row per task.
 A text is only compared with itself by sorting inside its row.
@@ -18,14 +18,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perilscope.llm.text import ROW_KEY, SPACE, WORD, fold_ascii, with_row_key, without, words
+from perilscope.llm.text import ROW_KEY, SPACE, WORD, broadcast_if_few, fold_ascii, with_row_key, without, words
 from perilscope.session import cut_lineage
 
 MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
 WINDOW = 5
 LEAST_DOCUMENTS = 20
-HOST_SHARE = 0.4
+HOST_SHARE = 0.02
 DEPLETED = 0.3
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -41,7 +41,7 @@ def word_windows(hashes: Column, window: int) -> Column:
 
 
 def measure(docs: DataFrame, host: str = "source") -> DataFrame:
-    """Narrow rows: doc_id, ROW_KEY, host columns, the base measures, base_failed and ``_lines`` (hash and words of each)."""
+    """Narrow rows: doc_id, ROW_KEY, host columns, the base measures, base_failed, ``_text_hash`` and ``_lines`` (hash and words of each)."""
     text = F.coalesce("text", F.lit(""))
     base = docs.select(
         "doc_id",
@@ -49,6 +49,7 @@ def measure(docs: DataFrame, host: str = "source") -> DataFrame:
         F.col(host).isNull().alias("_no_host"),
         "source",
         "text",
+        F.xxhash64(text).alias("_text_hash"),
         words(F.col("text")).alias("_words"),
         F.translate(text, BLANKS, "").alias("_solid"),
         F.filter(F.split(text, "\n"), lambda line: line.rlike(WORD)).alias("_raw"),
@@ -90,20 +91,24 @@ def line_hash(line: Column) -> Column:
 
 
 def frequent_lines(measured: DataFrame, least: int = LEAST_DOCUMENTS, share: float = HOST_SHARE) -> DataFrame:
-    """_host, _no_host, line: lines in at least ``least`` documents and more than ``share`` of the host's documents."""
-    hosts = measured.groupBy(*HOST).agg(F.count(F.lit(1)).alias("_host_documents"))
+    """_host, _no_host, line: lines in at least ``least`` distinct texts and more than ``share`` of the host's."""
+    hosts = measured.select(*HOST, "_text_hash").distinct().groupBy(*HOST).agg(F.count(F.lit(1)).alias("_host_texts"))
     once = F.explode(F.array_distinct(F.transform("_lines", lambda entry: entry["line"])))
-    counts = measured.select(*HOST, once.alias("line")).groupBy(*HOST, "line").agg(F.count(F.lit(1)).alias("_documents"))
-    often = counts.filter(F.col("_documents") >= least).join(hosts, HOST)
-    return often.filter(F.col("_documents") > share * F.col("_host_documents")).select(*HOST, "line")
+    lines = measured.select(*HOST, "_text_hash", once.alias("line"))
+    # A line has no more texts than rows: texts are told apart only for lines in enough rows.
+    rows = lines.groupBy(*HOST, "line").agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") >= least)
+    candidates = broadcast_if_few(cut_lineage(rows.drop("_rows")))
+    texts = lines.join(candidates, [*HOST, "line"]).distinct().groupBy(*HOST, "line").agg(F.count(F.lit(1)).alias("_texts"))
+    often = texts.filter(F.col("_texts") >= least).join(hosts, HOST)
+    return often.filter(F.col("_texts") > share * F.col("_host_texts")).select(*HOST, "line")
 
 
 def judge(docs: DataFrame, host: str = "source", depleted: float = DEPLETED) -> DataFrame:
     """A narrow row per document: doc_id, ROW_KEY, the measures, base_failed, n_removed (words of removed lines), kept."""
     measured = cut_lineage(measure(docs, host))
     lines = measured.select(*HOST, *ROW_KEY, F.explode("_lines").alias("_entry")).select("*", "_entry.*").drop("_entry")
-    removed = lines.join(frequent_lines(measured), [*HOST, "line"]).groupBy(*ROW_KEY).agg(F.sum("words").alias("n_removed"))
-    rows = measured.drop("_lines", *HOST).join(removed, ROW_KEY, "left")
+    removed = lines.join(broadcast_if_few(cut_lineage(frequent_lines(measured))), [*HOST, "line"]).groupBy(*ROW_KEY).agg(F.sum("words").alias("n_removed"))
+    rows = measured.drop("_lines", "_text_hash", *HOST).join(removed, ROW_KEY, "left")
     rows = rows.withColumn("n_removed", F.coalesce("n_removed", F.lit(0)).cast("bigint"))
     left_enough = F.col("n_words") - F.col("n_removed") >= depleted * F.col("n_words")
     return rows.withColumn("kept", ~F.col("base_failed") & left_enough)

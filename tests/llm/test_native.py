@@ -47,6 +47,19 @@ def test_frequent_lines_deplete_documents(spark):
     assert {r["doc_id"] for r in line_rules.keep(docs).collect()} == {i for i, (_, k) in kept.items() if k}
 
 
+def test_lines_of_a_few_percent_are_frequent_and_copies_are_not(spark):
+    """A notice on 30 of 640 documents of a host; 40 copies of one text count once."""
+    notice = " ".join(f"Notice{n}" for n in range(30))
+    rows = [(n, prose(100 * n, 40), "en", "h", 0) for n in range(570)]
+    rows += [(1000 + n, notice + "\n" + prose(90_000 + 100 * n, 40), "en", "h", 0) for n in range(25)]
+    rows += [(2000 + n, notice + f"\nonly{n} few{n}", "en", "h", 0) for n in range(5)]
+    rows += [(3000 + n, prose(500_000, 50), "en", "h", 0) for n in range(40)]
+    found = {r["doc_id"]: (r["n_removed"], r["kept"]) for r in line_rules.judge(spark.createDataFrame(rows, DOCUMENTS)).collect()}
+    assert len(found) == 640
+    for i, seen in found.items():
+        assert seen == ((0, True) if i < 1000 or i >= 3000 else (30, i < 2000)), i
+
+
 def test_rules_on_odd_rows(spark, odd, nothing, clashing):
     found = line_rules.judge(odd)
     assert found.count() == len(ODD_TEXTS) and line_rules.judge(nothing).count() == 0
