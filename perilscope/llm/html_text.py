@@ -8,7 +8,8 @@ parts of both inside links, LC and LT. The density is characters per tag, adjust
 The density sum of an element is the sum over its children. The element with the greatest sum marks the page; the least
 density on its path from the body is the threshold. The greatest sum among the elements at or above the threshold is the main
 subtree. It grows over an enclosing article or main element, and leaves out parts that the markup calls something else:
-menus, headers, footers, sidebars, notices, adverts, forms and comments.
+menus, headers, footers, sidebars, notices, adverts, forms and comments. A name alone never leaves out an article or main
+element, what holds the main element, or what holds most of the body's text while no article or main stands outside it.
 
 Text has its character references decoded, white space in a block made one space and trimmed; blocks are joined by one space in
 page order. Rows are independent: Arrow batches, no shuffle, memory for one page at a time.
@@ -51,13 +52,24 @@ SIBLINGS = {
 }
 SCOPES = frozenset("ul ol dl table article section div body html main".split())
 
-# Words in class, id or role that name a part beside the article.
+# What may stand in an open head; anything else begins the body.
+HEAD = frozenset("base basefont bgsound link meta title style script noscript template noframes".split())
+ARTICLES = frozenset(("article", "main"))
+
+# Names in class, id or role of a part beside the article.
 BESIDE = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion nav navbar navigation menu "
     "menubar breadcrumb breadcrumbs header masthead footer colophon sidebar complementary contentinfo aside cookie cookies "
     "consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login comment "
     "comments commentlist disqus replies respond related recommended share sharing social toolbar search pagination pager "
-    "copyright legal disclaimer widget hidden".split()
+    "copyright legal disclaimer widget widgets hidden".split()
+)
+# Words that go with these in one name (top-menu, comment-list); with any other word (has-sidebar, search-results) it names
+# something else. Single letters go with them too.
+PLACES = frozenset(
+    "top bottom left right upper lower main primary secondary site page global local mobile desktop sticky fixed floating bar "
+    "box boxes block area section wrap wrapper container holder inner outer list item items link links button buttons icon icons "
+    "group panel pane region row col column slot unit form module component trail thread posts js wp visually".split()
 )
 # Quantifiers that never give back keep a page with stray quotes from being searched again and again.
 TOKEN = re.compile(
@@ -72,40 +84,49 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "parts", "beside", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "parts", "beside", "named", "own", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Element | None, beside: bool):
-        self.tag, self.parent, self.beside = tag, parent, beside
+    def __init__(self, tag: str, parent: Element | None, beside: bool, named: bool = False):
+        self.tag, self.parent, self.beside, self.named = tag, parent, beside, named
         self.parts: list[Element | str] = []
-        self.chars = self.tags = self.link_chars = self.link_tags = 0
+        self.own = self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def names_beside(attributes: str) -> bool:
-    """Whether class, id or role name a part beside the article, or the element is hidden."""
+def is_beside(name: str) -> bool:
+    """Whether a whole class name, id or role is that of a part beside the article."""
+    found = WORDS.findall(CAMEL.sub(" ", name).lower())
+    return not BESIDE.isdisjoint(found) and all(w in BESIDE or w in PLACES or len(w) == 1 for w in found)
+
+
+def marked(attributes: str) -> tuple[bool, bool]:
+    """Whether the element is hidden, and whether class, id or role name a part beside the article."""
+    named = False
     for name, *values in ATTRIBUTE.findall(attributes):
         value, name = next((v for v in values if v), ""), name.lower()
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
+            return True, named
         if name == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return True
-        elif name in ("class", "id", "role") and BESIDE & set(WORDS.findall(CAMEL.sub(" ", value).lower())):
-            return True
-    return False
+                return True, named
+        elif name in ("class", "id", "role") and any(map(is_beside, value.split())):
+            named = True
+    return False, named
 
 
 def parse(html: str) -> Element:
     """The tree of a page; its root is the body."""
     root = at = Element("body", None, False)
-    position, size = 0, len(html)
+    position, size, begun = 0, len(html), False
     while position < size:
         match = TOKEN.search(html, position)
+        text = html[position : match.start() if match else size]
+        if at.tag == "head" and text.strip():
+            at, begun = root, True
+        if text:
+            at.parts.append(text)
         if match is None:
-            at.parts.append(html[position:])
             break
-        if match.start() > position:
-            at.parts.append(html[position : match.start()])
         position = match.end()
         if match[1]:
             at = closed(at, match[1].lower())
@@ -113,13 +134,17 @@ def parse(html: str) -> Element:
         if not match[2]:
             continue
         tag, attributes = match[2].lower(), match[3] or ""
-        if tag in ("html", "body"):
+        if at.tag == "head" and tag not in HEAD:
+            at = root if tag not in ("html", "head") else at
+        begun = begun or tag not in HEAD and tag not in ("html", "head")
+        if tag in ("html", "body") or (tag == "head" and (begun or at.tag == "head")):
             continue
         if tag in CLOSES_P:
             at = without_open(at, {"p"})
         if tag in SIBLINGS:
             at = without_open(at, SIBLINGS[tag])
-        child = Element(tag, at, tag in DROPPED or bool(attributes) and names_beside(attributes))
+        hidden, named = marked(attributes) if attributes else (False, False)
+        child = Element(tag, at, hidden or tag in DROPPED, named and tag not in ARTICLES)
         at.parts.append(child)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(html, position)
@@ -161,11 +186,37 @@ def in_order(root: Element) -> list[Element]:
     return found
 
 
+def settle(root: Element) -> Element:
+    """Decide which elements with a name from beside the article are left out."""
+    nodes = in_order(root)
+    for node in reversed(nodes):
+        node.own = sum(len(WHITE.sub("", p)) for p in node.parts if isinstance(p, str))
+        node.chars = node.own + sum(p.chars for p in node.parts if isinstance(p, Element) and not p.beside)
+    if not any(node.named for node in nodes):
+        return root
+    # Articles outside of any such element: in all, and on the path to each node.
+    apart, on_path, articles, around_main = {root: False}, {root: 0}, 0, set()
+    for node in nodes[1:]:
+        apart[node] = node.named or apart[node.parent]
+        counts = node.tag in ARTICLES and node.chars > 0 and not apart[node]
+        on_path[node] = on_path[node.parent] + counts
+        articles += counts
+        if node.tag == "main" and node.chars:
+            above = node.parent
+            while above is not None and above not in around_main:
+                around_main.add(above)
+                above = above.parent
+    for node in nodes:
+        most = 2 * node.chars > root.chars and articles == on_path[node]
+        node.beside = node.beside or node.named and not most and node not in around_main
+    return root
+
+
 def measure(root: Element) -> list[Element]:
     """Set counts, densities and density sums; the elements, parents first, without parts beside the article."""
     nodes = in_order(root)
     for node in reversed(nodes):
-        node.chars = sum(len(WHITE.sub("", p)) for p in node.parts if isinstance(p, str))
+        node.chars = node.own
         for child in node.parts:
             if isinstance(child, Element) and not child.beside:
                 node.chars += child.chars
@@ -230,7 +281,7 @@ def text_of(root: Element) -> str:
 
 
 def main_text(html: str | None) -> str:
-    return text_of(main_part(parse(html))) if html else ""
+    return text_of(main_part(settle(parse(html)))) if html else ""
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:

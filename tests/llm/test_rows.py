@@ -117,6 +117,41 @@ def test_main_text(html, want):
     assert html_text.main_text(html) == want
 
 
+SIDE = "<div class='sidebar'>Some text of the bar</div>"
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f"<article class='post comments-open'>{ARTICLE}</article>",
+        f"<body><div class='page has-sidebar'><div class=text>{ARTICLE}</div>{SIDE}</div></body>",
+        f"<main class='search-results'>{ARTICLE}</main>{SIDE}",
+        f"<article class='search'>{ARTICLE}</article>{SIDE}",
+        f"<main id=comments>{ARTICLE}</main>",
+        f"<body><div class='widget'><div>{ARTICLE}</div></div>{SIDE}</body>",
+        f"<body><div class='sidebar'><main>{ARTICLE}</main></div><div><a href=x>{'Linked words. ' * 30}</a></div></body>",
+        f"<article>{ARTICLE}</article><div id=comments><p>{'Readers write at length. ' * 30}</p></div>",
+        f"<body><div>{ARTICLE}</div><div class='comment-list'><p>Nice words.</p></div><div class='site-footer'>Foot</div></body>",
+        f"<!doctype html><html><head><title>T</title><meta charset=utf-8><body><div>{ARTICLE}</div>",
+        f"<!doctype html><head><title>T</title><script>var a='<p>';</script><link rel=x href=y><div>{ARTICLE}</div>",
+        f"<html>\n<head>\n<title>T</title>\n</head>\n<body><head><title>Again</title></head><article>{ARTICLE}</article></body></html>",
+    ],
+)
+def test_names_and_open_heads_do_not_take_the_article(html):
+    assert html_text.main_text(html) == TEXT
+
+
+def test_text_closes_an_open_head():
+    assert html_text.main_text("<head><title>T</title>Plain words<p>and a paragraph") == "Plain words and a paragraph"
+    assert html_text.main_text("<html><head><title>T</title></head><body></body></html>") == ""
+
+
+@pytest.mark.parametrize(("name", "beside"), [("sidebar", 1), ("top-menu", 1), ("cookieNotice", 1), ("comment-list", 1), ("ad-300x250", 1)] + [
+    (n, 0) for n in ("has-sidebar", "comments-open", "search-results", "no-sidebar", "entry-header", "adroit", "page", "main")])
+def test_names_of_parts(name, beside):
+    assert html_text.is_beside(name) == bool(beside)
+
+
 def test_long_pages_end_in_time():
     for piece in ('<a title="', "<", "<!-", "<a ", "</", "<p", "&", "<script", "<div class='x"):
         html_text.main_text(piece * 20_000)
