@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from perilscope.llm import decontaminate, line_rules, sharding, url_filter
+from perilscope.llm import decontaminate, line_dedup, line_rules, sharding, url_filter
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 FOLDED = (
@@ -137,6 +137,19 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM base
 """
 
+LINE_DEDUP = rf"""
+WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+lines AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM cut),
+keyed AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+owners AS (SELECT key, min(doc_id) AS owner FROM keyed WHERE length(key) >= {line_dedup.KEY_POINTS}
+           GROUP BY key HAVING count(DISTINCT doc_id) >= {line_dedup.LEAST_DOCUMENTS}),
+judged AS (SELECT k.doc_id, line, pos, coalesce(owner <> k.doc_id, false) AS gone FROM keyed k LEFT JOIN owners o USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
 ORACLES = {
     "op2_near_dups": NEAR_DUPS,
     "op3_url_filter": URL_FILTER,
@@ -144,4 +157,5 @@ ORACLES = {
     "op5_shards": SHARDS,
     "op7_substrings": SUBSTRINGS,
     "op9_line_rules": LINE_RULES,
+    "op12_line_dedup": LINE_DEDUP,
 }

@@ -11,6 +11,7 @@ from perilscope.llm import (
     decontaminate,
     html_text,
     language,
+    line_dedup,
     line_rules,
     mixing,
     near_dups,
@@ -96,6 +97,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.remove_repeated_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -109,6 +115,7 @@ QUERIES = {
         op8_html_text,
         op9_line_rules,
         op10_quality,
+        op12_line_dedup,
     )
 }
 
