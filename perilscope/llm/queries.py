@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import zlib
 from fractions import Fraction
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from perilscope.llm import (
     line_rules,
     mixing,
     near_dups,
+    periodic_runs,
     pu_quality,
     sharding,
     substrings,
@@ -97,6 +100,37 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def with_planted_run(doc_id: int | None, n: int) -> np.ndarray | None:
+    """The words of the contract: a tenth of the documents ends in a stretch of one period."""
+    g, rest = divmod(zlib.crc32(str(doc_id).encode()), 10)
+    if doc_id is None or rest or not n:
+        return None
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    at = np.arange(n)
+    at[a:] = a + (at[a:] - a) % p
+    return at
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.collapse_runs(table(spark, sf_dir, "documents"), order=with_planted_run)
+    # The greatest length, then the smallest start, then the smallest period.
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r["start"], r["period"])))
+    line = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    found = found.withColumn("_best", best)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        F.col("_best.start").alias("start"),
+        F.col("_best.length").alias("length"),
+        F.col("_best.period").alias("period"),
+        F.floor(1000 * F.col("_best.length") / F.col("_best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.remove_repeated_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -115,6 +149,7 @@ QUERIES = {
         op8_html_text,
         op9_line_rules,
         op10_quality,
+        op11_periodic_runs,
         op12_line_dedup,
     )
 }
