@@ -22,6 +22,7 @@ from perilscope.llm import (
     sharding,
     substrings,
     url_filter,
+    whitening,
 )
 from perilscope.llm.oracles import ORACLES
 
@@ -136,6 +137,10 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -151,6 +156,7 @@ QUERIES = {
         op10_quality,
         op11_periodic_runs,
         op12_line_dedup,
+        op13_whitening,
     )
 }
 
