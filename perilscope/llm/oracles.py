@@ -85,17 +85,21 @@ rows AS (
     SELECT doc_id, source, len(h) // 2 + 1 AS size,
         xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
             list_transform(regexp_extract_all(h, '..'), lambda x: ('0x' || x)::BIGINT)),
-            lambda c, x: xor(c // 256, t[(xor(c, x) % 256) + 1]))) AS text_crc32,
-        md5('{sharding.SEED}:' || coalesce(doc_id::VARCHAR, 'null')) AS key
+            lambda c, x: xor(c // 256, t[(xor(c, x) % 256) + 1]))) AS text_crc32
     FROM bytes, crc_table),
+keyed AS (SELECT *, md5('{sharding.SEED}:' || coalesce(doc_id::VARCHAR, 'null:' || (text_crc32 * 2147483648 + size))) AS key FROM rows),
 ranked AS (
-    SELECT *, (row_number() OVER (PARTITION BY source ORDER BY key, text_crc32, size) - 0.5::DOUBLE)
-        / count(*) OVER (PARTITION BY source) AS fraction FROM rows),
-placed AS (
-    SELECT *, row_number() OVER (ORDER BY fraction, source NULLS LAST) - 1 AS place, count(*) OVER () AS total FROM ranked),
-cut AS (SELECT *, place * {sharding.SHARDS} // total AS s FROM placed)
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY key, text_crc32, size) - 1 AS r,
+        count(*) OVER (PARTITION BY source) AS n FROM keyed),
+sources AS (SELECT source, count(*) AS n, md5('{sharding.SEED}:' || coalesce(source, 'null')) AS k FROM rows GROUP BY source),
+ahead AS (SELECT source, coalesce(sum(n) OVER (ORDER BY k, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS a
+          FROM sources),
+cut AS (
+    SELECT ranked.*, (r + 0.5::DOUBLE) / n AS fraction,
+        len(list_filter(range(1, {sharding.SHARDS} + 1), lambda j: (a + n) * j // {sharding.SHARDS} - a * j // {sharding.SHARDS} <= r)) AS s
+    FROM ranked JOIN ahead ON ranked.source IS NOT DISTINCT FROM ahead.source)
 SELECT doc_id, size, text_crc32, 'rows' AS law, s::INTEGER AS shard,
-    place - (s * total + {sharding.SHARDS - 1}) // {sharding.SHARDS} AS slot, NULL::INTEGER AS grown_shard
+    row_number() OVER (PARTITION BY s ORDER BY fraction, source NULLS LAST) - 1 AS slot, NULL::INTEGER AS grown_shard
 FROM cut
 """
 

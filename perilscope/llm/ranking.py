@@ -1,7 +1,8 @@
 """Running sums along a seeded shuffle, without a task that holds a whole source.
 
 A row's place in the shuffle is the MD5 of a seed and its id. The leading digits cut each source into buckets of
-about ``BUCKET_ROWS`` rows; sums run inside (source, bucket), and the totals of the earlier buckets are added.
+about ``BUCKET_ROWS`` rows; sums run inside (source, bucket), and the totals of the earlier buckets are added. Those come
+from sums over stretches of ``STRETCH`` buckets and over the stretches, so that no window holds all buckets either.
 The order doesn't depend on the number of buckets, so neither does any result.
 """
 
@@ -13,11 +14,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET_ROWS = 4096
+STRETCH = 1024
 
 
-def shuffle_key(seed: int, doc_id: Column) -> Column:
-    """32 hexadecimal digits; rows without an id share one key."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
+def shuffle_key(seed: int, doc_id: Column, otherwise: Column | None = None) -> Column:
+    """32 hexadecimal digits; rows without an id are told apart by ``otherwise``, a number, so that they don't share one key."""
+    missing = F.lit("null") if otherwise is None else F.concat(F.lit("null:"), otherwise.cast("string"))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), missing)))
 
 
 def leading_share(key: Column) -> Column:
@@ -34,11 +37,18 @@ def running(
 ) -> DataFrame:
     """Sums of the earlier rows of the same keys, in the order (bucket, order); keys and bucket aren't NULL."""
     inside = Window.partitionBy(*keys, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    earlier = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     totals = df.groupBy(*keys, bucket).agg(*[F.sum(value).alias(f"_t_{out}") for out, value in sums.items()])
-    before = totals.select(
-        *keys, bucket, *[F.coalesce(F.sum(f"_t_{out}").over(earlier), F.lit(0)).alias(f"_o_{out}") for out in sums]
-    )
+    totals = totals.withColumn("_stretch", F.floor(F.col(bucket) / STRETCH))
+    stretches = totals.groupBy(*keys, "_stretch").agg(*[F.sum(f"_t_{out}").alias(f"_s_{out}") for out in sums])
+    along = Window.partitionBy(*keys).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy(*keys, "_stretch").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+
+    def sum_of(name: str, window) -> Column:
+        return F.coalesce(F.sum(name).over(window), F.lit(0))
+
+    ahead = stretches.select(*keys, "_stretch", *[sum_of(f"_s_{out}", along).alias(f"_a_{out}") for out in sums])
+    before = totals.withColumns({f"_o_{out}": sum_of(f"_t_{out}", within) for out in sums}).join(ahead, [*keys, "_stretch"])
+    before = before.select(*keys, bucket, *[(F.col(f"_o_{out}") + F.col(f"_a_{out}")).alias(f"_o_{out}") for out in sums])
     local = df.withColumns({out: F.coalesce(F.sum(value).over(inside), F.lit(0)) for out, value in sums.items()})
     joined = local.join(before, [*keys, bucket])
     return joined.withColumns({out: F.col(out) + F.col(f"_o_{out}") for out in sums}).drop(*[f"_o_{out}" for out in sums])

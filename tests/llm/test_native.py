@@ -131,11 +131,33 @@ def test_shards_follow_the_mixture(spark):
     assert all(r["text_crc32"] == zlib.crc32(text[r["doc_id"]].encode()) for r in placed)
 
 
+@pytest.mark.parametrize("equal", [5, 20, 100, 400])
+def test_equal_sources_share_every_shard(spark, equal):
+    """Equally large sources reach the cuts together; neither they nor a large one pay for it."""
+    names = ["large"] * 5000 + [f"s{n}" for n in range(equal) for _ in range(53)]
+    docs = spark.createDataFrame([(n, f"t{n}", "en", name, 0) for n, name in enumerate(names)], DOCUMENTS)
+    placed = sharding.assign(docs).collect()
+    counts = Counter(r["shard"] for r in placed)
+    assert set(counts) == set(range(8)) and max(counts.values()) - min(counts.values()) <= 1
+    totals, cells = Counter(names), Counter((r["shard"], names[r["doc_id"]]) for r in placed)
+    assert all(abs(cells[s, name] - n / 8) < 2 for name, n in totals.items() for s in range(8))
+
+
+def test_rows_of_a_shard_stand_by_fractional_rank(spark):
+    names = ["large"] * 400 + ["small"] * 40
+    docs = spark.createDataFrame([(n, f"t{n}", "en", name, 0) for n, name in enumerate(names)], DOCUMENTS)
+    for s in range(8):
+        rows = sharding.assign(docs).filter(F.col("shard") == s).orderBy("slot").collect()
+        small = [r["slot"] for r in rows if names[r["doc_id"]] == "small"]
+        assert len(small) == 5 and all(8 <= b - a <= 14 for a, b in zip(small, small[1:]))
+
+
 def test_buckets_do_not_change_places(spark, monkeypatch):
     rows = [(n, f"t{n}", "en", "s%d" % (n % 3), 0) for n in range(300)]
     docs = spark.createDataFrame(rows, DOCUMENTS)
     few = rows_of(sharding.assign(docs), "doc_id", "shard", "slot")
     monkeypatch.setattr("perilscope.llm.ranking.BUCKET_ROWS", 7)
+    monkeypatch.setattr("perilscope.llm.ranking.STRETCH", 3)
     assert rows_of(sharding.assign(docs), "doc_id", "shard", "slot") == few
 
 
