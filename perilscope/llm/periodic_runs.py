@@ -12,6 +12,8 @@ one of at least max(least - q, q) positions, for the smallest q of its words. Di
    same words are left out here. All tiles of an Arrow batch are solved together, in numpy; a tile never leaves its task.
 3. What a tile sees of a match interval is a fragment, clipped to the tile. Fragments are shuffled by (document, period) and
    stitched where they meet. Their number is in proportion to the words of the runs.
+4. Texts with fragments are stored with them, and meet their runs in one join. A text without fragments has no run and never
+   moves; it is told by solving its tiles once more where it is read, which costs less than shuffling every text.
 
 The work is n log n for n words whatever they are, memory a few numbers per word of a slice. Equal hashes of 64 bits are taken for
 equal words. A run's length doesn't depend on tiles, slices or batches.
@@ -23,7 +25,7 @@ columns go along; those called like an output are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import replace
 
 import numpy as np
@@ -149,25 +151,28 @@ def solve(words: Slice, least: int) -> np.ndarray:
     return np.concatenate(found)
 
 
-def fragments(docs: DataFrame, least: int = LEAST_WORDS, order: Order = as_written) -> DataFrame:
-    """The row's key, period, first and past: match intervals as the tiles see them."""
+def finding(least: int, order: Order):
+    """A function on (doc_id, text): the fragments of the text, an array of period, first and past (match) as the tiles see them."""
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for words in slices(batch.column(1)):
-                hashes = words.hashes.copy()
-                for t, (a, b) in enumerate(zip(words.bounds[:-1].tolist(), words.bounds[1:].tolist())):
-                    taken = order(ids[words.first_row + t], b - a)
-                    if taken is not None:
-                        hashes[a:b] = words.hashes[a + taken]
-                found = solve(replace(words, hashes=hashes), least)
-                rows = pa.array(words.first_row + found[:, 0])
-                keys = [batch.column(2 + k).take(rows) for k in range(len(ROW))]
-                yield pa.RecordBatch.from_arrays([*keys, *(pa.array(found[:, k]) for k in (1, 2, 3))], names=[*ROW, "period", "first", "past"])
+    def work(ids: pa.Array, texts: pa.Array) -> pa.Array:
+        known, found = ids.to_pylist(), [np.zeros((0, 4), dtype=np.int64)]
+        for words in slices(texts):
+            hashes = words.hashes.copy()
+            for t, (a, b) in enumerate(zip(words.bounds[:-1].tolist(), words.bounds[1:].tolist())):
+                taken = order(known[words.first_row + t], b - a)
+                if taken is not None:
+                    hashes[a:b] = words.hashes[a + taken]
+            part = solve(replace(words, hashes=hashes), least)
+            part[:, 0] += words.first_row
+            found.append(part)
+        rows = np.concatenate(found)
+        rows = rows[np.argsort(rows[:, 0], kind="stable")]
+        borders = np.searchsorted(rows[:, 0], np.arange(len(texts) + 1))
+        pieces = pa.StructArray.from_arrays([pa.array(rows[:, k]) for k in (1, 2, 3)], names=["period", "first", "past"])
+        return pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pieces)
 
-    rows = with_row_hash(docs.select("doc_id", "source", "text")).select("doc_id", "text", *ROW)
-    return rows.mapInArrow(work, "_id bigint, _no_id boolean, _row_hash bigint, period bigint, first bigint, past bigint")
+    # Not to be evaluated again for a filter on its result.
+    return F.arrow_udf(work, "array<struct<period:bigint,first:bigint,past:bigint>>").asNondeterministic()
 
 
 def stitched(pieces: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
@@ -213,10 +218,17 @@ def collapse_runs(docs: DataFrame, least: int = LEAST_WORDS, order: Order = as_w
 
     collapsed: the words joined by one space, without those that some run holds after its first period.
     """
-    runs = cut_lineage(stitched(fragments(docs, least, order), least))
-    listed = runs.groupBy(*ROW).agg(F.array_sort(F.collect_list(F.struct("start", "length", "period"))).alias("_runs"))
-    rows = with_row_hash(packed(docs.drop(*RESULT))).drop("source").join(listed, ROW, "left")
+    rows = with_row_hash(packed(docs.drop(*RESULT))).drop("source").withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    solved = rows.withColumn("_pieces", finding(least, order)("doc_id", "text"))
+    marked = cut_lineage(solved.filter(F.size("_pieces") > 0).drop("text"))
+    pieces = marked.select(*ROW, F.explode("_pieces").alias("_piece")).select(*ROW, "_piece.*")
+    found = stitched(pieces, least).groupBy(*ROW)
+    listed = found.agg(F.array_sort(F.collect_list(F.struct("start", "length", "period"))).alias("_runs"))
+    none = F.lit(None).cast("array<struct<start:bigint,length:bigint,period:bigint>>")
+    plain = solved.filter(F.size("_pieces") == 0).drop("_pieces").withColumn("_runs", none)
+    repeating = marked.withColumn("text", F.col("_doc.text")).drop("_pieces").join(listed.hint("merge"), ROW, "left")
+    both = plain.unionByName(repeating)
     parts = [F.col(f"_runs.{name}") for name in ("start", "length", "period")]
-    rows = rows.withColumn("_kept", collapsing(order)(F.col("doc_id").cast("bigint"), F.col("text").cast("binary"), *parts))
-    none = F.array().cast("array<struct<start:bigint,length:bigint,period:bigint>>")
-    return rows.select("_doc.*", "_kept.n_words", F.coalesce("_runs", none).alias("runs"), "_kept.collapsed")
+    both = both.withColumn("_kept", collapsing(order)(F.col("doc_id"), F.col("text").cast("binary"), *parts))
+    runs = F.coalesce("_runs", F.array().cast("array<struct<start:bigint,length:bigint,period:bigint>>"))
+    return both.select("_doc.*", "_kept.n_words", runs.alias("runs"), "_kept.collapsed")
