@@ -7,10 +7,12 @@ Only documents marked good (label 1) are used as labels; everything else is unla
    threshold that keeps only good text, the unlabelled share is the prior times the positive share.
 3. The classifier minimises the non-negative unbiased risk
        prior x E_pos[loss(z)] + max(0, E_unl[loss(-z)] - prior x E_pos[loss(-z)])
-   with the logistic loss; where the second part falls below zero, steps go back up along it.
+   with the logistic loss and a ridge. That is the greater of two convex functions. Where the unbiased risk has its minimum at a
+   second part of 0 or more, that is the answer; else the part's weight is lowered from 1 until the part is 0 at the minimum, or its weight is.
 
-The fit runs on the driver over a bounded sample: at most ``POSITIVES`` trusted positives and ``UNLABELLED`` unlabelled rows, those
-with the smallest hash of their id; rows whose crc32(doc_id) mod 4 is 2 are never used. Everything else covers all rows.
+Both fits are Newton iterations. A step needs losses, gradients and second derivatives summed over trusted positives and over unlabelled
+rows: one pass over the stored features, partial sums per task, added up in a shuffle. Nothing is sampled, and the driver gets a few
+numbers per pair of features. Rows whose crc32(doc_id) mod 4 is 2 take no part in it.
 
 Defined results: NULL and empty texts are scored like any other, as texts of no words; a doc_id labelled both ways is no
 trusted positive; rows without doc_id are unlabelled and not held out; without any positive, or any document, the score is the
@@ -19,7 +21,7 @@ constant 0.5; repeated rows score alike. Columns other than doc_id and text are
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,12 +32,11 @@ from pyspark.sql import functions as F
 from perilscope.llm.wordhash import slices
 from perilscope.session import cut_lineage
 
-POSITIVES = 20_000
-UNLABELLED = 40_000
-STEPS = 400
-RATE = 0.05
+NEWTON_STEPS = 40
+FLAT = 1e-7  # length of a gradient that counts as none
+SECANTS = 30  # for the weight of the second part
+ZERO = 1e-6  # a second part this small counts as none
 RIDGE_ROWS = 3.0  # the ridge weighs as much as so many positives
-BACK = 1.0  # weight of the steps back up the negative part
 BINS = 200
 LEAST_SHARE = 0.1  # of the positives above a threshold that may give the prior
 THRESHOLD = 0.7
@@ -158,47 +159,134 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def descend(gradient, size: int, steps: int = STEPS, rate: float = RATE) -> np.ndarray:
-    """Adam steps from zero."""
-    at, m, v = np.zeros(size), np.zeros(size), np.zeros(size)
-    for step in range(1, steps + 1):
-        g = gradient(at)
-        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-        at = at - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+def with_one(x: np.ndarray) -> np.ndarray:
+    return np.column_stack([x, np.ones(len(x))])
+
+
+@dataclass(frozen=True)
+class Sums:
+    """Over one group of rows, at some weights: rows, losses of z and of -z, sums of x, of s x and of s (1 - s) x x', s = sigmoid(z)."""
+
+    rows: float
+    loss: float
+    loss_back: float
+    x: np.ndarray
+    sx: np.ndarray
+    curve: np.ndarray
+
+    @staticmethod
+    def of(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """All of them in the rows of one table, so that tables add up."""
+        z = x @ w
+        s = sigmoid(z)
+        heads = np.zeros((3, len(w)))
+        heads[:, 0] = len(x), np.logaddexp(0, -z).sum(), np.logaddexp(0, z).sum()
+        return np.vstack([heads, x.sum(axis=0), s @ x, (x * (s * (1 - s))[:, None]).T @ x])
+
+    @staticmethod
+    def read(table: np.ndarray) -> Sums:
+        return Sums(*table[:3, 0], table[3], table[4], table[5:])
+
+
+#: Weights to the sums over positives and over unlabelled rows.
+Passes = Callable[[np.ndarray], tuple[Sums, Sums]]
+
+
+def spark_passes(rows: DataFrame, means: np.ndarray, spreads: np.ndarray) -> Passes:
+    """``rows``: the features and ``positive``; every row counts as unlabelled, positives count for themselves as well."""
+    size = 2 * len(NAMES) + 1
+
+    def at(w: np.ndarray) -> tuple[Sums, Sums]:
+        def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((2 * (size + 5), size))
+            for batch in batches:
+                table = np.column_stack([batch.column(k).to_numpy(zero_copy_only=False) for k in range(len(NAMES))])
+                x = with_one(design(table, means, spreads))
+                positive = batch.column(len(NAMES)).to_numpy(zero_copy_only=False).astype(bool)
+                total += np.vstack([Sums.of(x[positive], w), Sums.of(x, w)])
+            arrays = [pa.array(np.arange(len(total))), *(pa.array(total[:, k]) for k in range(size))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["i", *(f"c{k}" for k in range(size))])
+
+        schema = ", ".join(["i bigint", *(f"c{k} double" for k in range(size))])
+        parts = rows.select(*NAMES, "positive").mapInArrow(partial, schema)
+        added = parts.groupBy("i").agg(*[F.sum(f"c{k}").alias(f"c{k}") for k in range(size)]).collect()
+        table = np.zeros((2 * (size + 5), size))
+        for row in added:  # a row per sum
+            table[row["i"]] = row[1:]
+        return Sums.read(table[: size + 5]), Sums.read(table[size + 5 :])
+
     return at
 
 
-def with_one(x: np.ndarray) -> np.ndarray:
-    return np.column_stack([x, np.ones(len(x))])
+Objective = Callable[[Sums, Sums], tuple[float, np.ndarray, np.ndarray]]
 
 
-def fit_contrast(positive: np.ndarray, unlabelled: np.ndarray) -> np.ndarray:
-    """Logistic model of positive against unlabelled, both weighing the same."""
-    p, u = with_one(positive), with_one(unlabelled)
+def minimise(passes: Passes, objective: Objective, ridge: float, w: np.ndarray) -> tuple[np.ndarray, Sums, Sums]:
+    """Newton steps from w, halved while they don't lower the objective; the sums are those at the result."""
+    step, before, best = None, np.inf, None
+    for _ in range(NEWTON_STEPS):
+        p, u = passes(w)
+        value, gradient, curve = objective(p, u)
+        value, gradient, curve = value + ridge / 2 * w @ w, gradient + ridge * w, curve + ridge * np.eye(len(w))
+        if best is None or value <= before + 1e-12:
+            best, before = (w, p, u), value
+            if np.linalg.norm(gradient) < FLAT:
+                break
+            step = -np.linalg.solve(curve, gradient)
+        else:
+            step = step / 2
+            if np.linalg.norm(step) < 1e-10:
+                break
+        w = best[0] + step
+    return best
 
-    ridge = RIDGE_ROWS / len(p)
 
-    def gradient(w: np.ndarray) -> np.ndarray:
-        pull = -(1 - sigmoid(p @ w)) @ p / len(p) + sigmoid(u @ w) @ u / len(u)
-        return pull + ridge * w
+def contrast(p: Sums, u: Sums) -> tuple[float, np.ndarray, np.ndarray]:
+    """Logistic loss of positive against unlabelled, both weighing the same."""
+    value = p.loss / p.rows + u.loss_back / u.rows
+    return value, (p.sx - p.x) / p.rows + u.sx / u.rows, p.curve / p.rows + u.curve / u.rows
 
-    return descend(gradient, p.shape[1])
 
+def negative_part(p: Sums, u: Sums, prior: float) -> float:
+    return u.loss_back / u.rows - prior * p.loss_back / p.rows
 
-def fit_non_negative(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> np.ndarray:
-    """Weights of least non-negative unbiased risk."""
-    p, u = with_one(positive), with_one(unlabelled)
-    ridge = RIDGE_ROWS / len(p)
 
-    def gradient(w: np.ndarray) -> np.ndarray:
-        zp, zu = p @ w, u @ w
-        negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        down = sigmoid(zu) @ u / len(u) - prior * sigmoid(zp) @ p / len(p)
-        if negative < 0:
-            return -BACK * down + ridge * w
-        return -prior * (1 - sigmoid(zp)) @ p / len(p) + down + ridge * w
+def weighted_risk(prior: float, share: float) -> Objective:
+    """prior x E_pos[loss(z)] + share x (E_unl[loss(-z)] - prior x E_pos[loss(-z)]); convex for shares of 0 to 1."""
+
+    def objective(p: Sums, u: Sums) -> tuple[float, np.ndarray, np.ndarray]:
+        value = prior * p.loss / p.rows + share * negative_part(p, u, prior)
+        gradient = prior * ((1 - share) * p.sx - p.x) / p.rows + share * u.sx / u.rows
+        return value, gradient, prior * (1 - share) * p.curve / p.rows + share * u.curve / u.rows
+
+    return objective
+
 
-    return descend(gradient, p.shape[1])
+def fit_contrast(passes: Passes, ridge: float, size: int) -> np.ndarray:
+    return minimise(passes, contrast, ridge, np.zeros(size))[0]
+
+
+def fit_non_negative(passes: Passes, prior: float, ridge: float, size: int) -> np.ndarray:
+    """Weights of least non-negative unbiased risk."""
+    def at(share: float, start: np.ndarray) -> tuple[np.ndarray, float]:
+        w, p, u = minimise(passes, weighted_risk(prior, share), ridge, start)
+        return w, negative_part(p, u, prior)
+
+    w, high_part = at(1.0, np.zeros(size))
+    if high_part >= 0:
+        return w
+    w, low_part = at(0.0, w)
+    low, high = 0.0, 1.0
+    for _ in range(SECANTS if low_part > 0 else 0):  # the part falls as its weight grows: false position, halving an end that stays
+        share = (low * high_part - high * low_part) / (high_part - low_part)
+        w, part = at(share, w)
+        if abs(part) < ZERO:
+            break
+        if part > 0:
+            low, low_part, high_part = share, part, high_part / 2
+        else:
+            high, high_part, low_part = share, part, low_part / 2
+    return w
 
 
 def estimated_prior(rows: DataFrame, contrast: Model) -> float:
@@ -232,21 +320,18 @@ def train(table: DataFrame, labels: DataFrame) -> Model | None:
     trusted = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("q")).filter("q = 1")
     known = table.filter(~held_out(F.col("doc_id")))
     rows = known.join(trusted.select("doc_id", F.lit(True).alias("positive")), "doc_id", "left")
-    rows = rows.withColumn("positive", F.coalesce("positive", F.lit(False)))
+    rows = cut_lineage(rows.select(*NAMES, F.coalesce("positive", F.lit(False)).alias("positive")))
     stats = table.agg(*[f(name).alias(f"{f.__name__}_{name}") for name in NAMES for f in (F.avg, F.stddev_pop)]).first()
     means = np.array([stats[f"avg_{name}"] or 0.0 for name in NAMES])
     spreads = np.array([max(stats[f"stddev_pop_{name}"] or 0.0, 1e-6) for name in NAMES])
 
-    def sample(df: DataFrame, most: int) -> np.ndarray:
-        picked = df.orderBy(F.xxhash64("doc_id"), "doc_id", *NAMES).select(*NAMES).limit(most)
-        return design(picked.toPandas().to_numpy(dtype=np.float64).reshape(-1, len(NAMES)), means, spreads)
-
-    positive, unlabelled = sample(rows.filter("positive"), POSITIVES), sample(known, UNLABELLED)
-    if not len(positive):
+    n_positive = rows.filter("positive").count()
+    if not n_positive:
         return None
+    passes, ridge, size = spark_passes(rows, means, spreads), RIDGE_ROWS / n_positive, 2 * len(NAMES) + 1
     build = lambda w, prior: Model(tuple(means.tolist()), tuple(spreads.tolist()), tuple(w[:-1].tolist()), float(w[-1]), prior)
-    prior = estimated_prior(rows, build(fit_contrast(positive, unlabelled), 0.5))
-    return build(fit_non_negative(positive, unlabelled, prior), prior)
+    prior = estimated_prior(rows, build(fit_contrast(passes, ridge, size), 0.5))
+    return build(fit_non_negative(passes, prior, ridge, size), prior)
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:

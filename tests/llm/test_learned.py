@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from perilscope.llm import language, pu_quality
@@ -40,7 +41,8 @@ def test_risk_gradient_and_prior():
     rng = np.random.default_rng(1)
     good, bad = rng.normal(1, 1, (4000, 1)), rng.normal(-2, 1, (4000, 1))
     mixed = np.concatenate([good[2000:3400], bad[:600]])  # 0.7 good
-    weights = pu_quality.fit_non_negative(good[:2000], mixed, 0.7)
+    passes = plain_passes(pu_quality.with_one(good[:2000]), pu_quality.with_one(mixed))
+    weights = pu_quality.fit_non_negative(passes, 0.7, pu_quality.RIDGE_ROWS / 2000, 2)
     score = lambda x: pu_quality.sigmoid(pu_quality.with_one(x) @ weights)
     assert (score(good[3400:]) > 0.5).mean() > 0.9 and (score(bad[600:]) < 0.5).mean() > 0.8
 
@@ -128,3 +130,76 @@ def test_declared_and_address(spark):
     frame = spark.createDataFrame(rows, "html string, host string, path string")
     found = frame.select(language.declared_language(F.col("html")), language.address_language(F.col("host"), F.col("path"))).collect()
     assert [tuple(r) for r in found] == [("fr", "en"), ("de", "fr"), (None, None), (None, None)]
+
+
+def plain_passes(positive, unlabelled):
+    return lambda w: tuple(pu_quality.Sums.read(pu_quality.Sums.of(x, w)) for x in (positive, unlabelled))
+
+
+def risk(w, positive, unlabelled, prior, ridge):
+    """The non-negative risk as written, by rows."""
+    loss = lambda z: float(np.mean([np.log1p(np.exp(-v)) if v > -30 else -v for v in z]))
+    part = loss(-(unlabelled @ w)) - prior * loss(-(positive @ w))
+    return prior * loss(positive @ w) + max(0.0, part) + ridge / 2 * w @ w, part
+
+
+def two_groups(seed, n=400, share=0.4):
+    rng = np.random.default_rng(seed)
+    good = rng.normal([1.0, 0.5, 0.0], 1.0, (n, 3))
+    mixed = np.where(rng.random((n, 1)) < share, rng.normal([1.0, 0.5, 0.0], 1.0, (n, 3)), rng.normal([-1.0, -0.5, 0.0], 1.0, (n, 3)))
+    return pu_quality.with_one(good), pu_quality.with_one(mixed)
+
+
+@pytest.mark.parametrize("prior", [0.1, 0.4, 0.55, 0.6, 0.9])
+def test_fit_has_the_least_non_negative_risk(prior):
+    """No step in any of many directions lowers the risk; priors that are too large make the second part negative."""
+    positive, unlabelled = two_groups(1)
+    ridge = 0.01
+    w = pu_quality.fit_non_negative(plain_passes(positive, unlabelled), prior, ridge, 4)
+    least = risk(w, positive, unlabelled, prior, ridge)[0]
+    unbiased = pu_quality.minimise(plain_passes(positive, unlabelled), pu_quality.weighted_risk(prior, 1.0), ridge, np.zeros(4))[0]
+    plain, part = risk(unbiased, positive, unlabelled, prior, ridge)
+    assert (part < 0) == (prior > 0.5) and (abs(plain - least) < 1e-9 if part >= 0 else least < plain - 1e-3)
+    rng = np.random.default_rng(2)
+    for size in (1e-2, 1e-1, 1.0):
+        for _ in range(60):
+            assert risk(w + size * rng.standard_normal(4), positive, unlabelled, prior, ridge)[0] >= least - 1e-4
+
+
+def test_sums_of_all_rows_match_one_table(spark):
+    rng = np.random.default_rng(4)
+    table = rng.standard_normal((500, len(pu_quality.NAMES)))
+    positive = rng.random(500) < 0.3
+    rows = spark.createDataFrame([(*map(float, r), bool(p)) for r, p in zip(table, positive)], [*pu_quality.NAMES, "positive"]).repartition(5)
+    means, spreads = table.mean(axis=0), table.std(axis=0)
+    w = rng.standard_normal(2 * len(pu_quality.NAMES) + 1) / 10
+    x = pu_quality.with_one(pu_quality.design(table, means, spreads))
+    for got, want in zip(pu_quality.spark_passes(rows, means, spreads)(w), plain_passes(x[positive], x)(w)):
+        for name in ("rows", "loss", "loss_back", "x", "sx", "curve"):
+            assert np.allclose(getattr(got, name), getattr(want, name), rtol=1e-10, atol=1e-9), name
+
+
+def test_prior_matches_a_plain_count(spark):
+    positive, unlabelled = two_groups(7, n=3000)
+    x = np.vstack([unlabelled, positive])[:, :3]
+    rows = [(*map(float, r), *([0.0] * (len(pu_quality.NAMES) - 3)), bool(k >= 3000)) for k, r in enumerate(x)]
+    frame = spark.createDataFrame(rows, [*pu_quality.NAMES, "positive"])
+    half = len(pu_quality.NAMES)
+    model = pu_quality.Model((0.0,) * half, (1.0,) * half, (1.5, 0.7) + (0.0,) * (2 * half - 2), 0.0, 0.5)
+    found = pu_quality.estimated_prior(frame, model)
+    score = 1 / (1 + np.exp(-np.clip(x, -4, 4)[:, :2] @ [1.5, 0.7]))
+    best = []
+    for t in range(pu_quality.BINS):
+        above = np.floor(score * (pu_quality.BINS - 1e-9)) >= t
+        p, u = above[3000:].mean(), above.mean()
+        if p >= pu_quality.LEAST_SHARE:
+            best.append((u / p + (1 / np.sqrt(6000) + 1 / np.sqrt(3000)) / p, u / p))
+    assert found == pytest.approx(min(best)[1], rel=1e-9)
+    assert 0.6 < found < 0.85, "the positives are half of all rows, and two fifths of the other half are good"
+
+
+def test_labels_of_texts_that_are_not_there(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    more = labels.select("doc_id", "quality").union(spark.range(10**9, 10**9 + 5000).selectExpr("id", "cast(id % 2 as int)"))
+    assert rows_of(pu_quality.score(docs, more), "doc_id", "predicted") == rows_of(pu_quality.score(docs, labels), "doc_id", "predicted")
