@@ -151,11 +151,20 @@ def solve(words: Slice, least: int) -> np.ndarray:
     return np.concatenate(found)
 
 
-def finding(least: int, order: Order):
-    """A function on (doc_id, text): the fragments of the text, an array of period, first and past (match) as the tiles see them."""
+def arranged(doc_id: int | None, raw: bytes, order: Order) -> list[bytes]:
+    """The words of a text in that order; bytes are split at space and \\x09-\\x0D, nothing else."""
+    words = raw.split()
+    taken = order(doc_id, len(words))
+    return words if taken is None else [words[i] for i in taken.tolist()]
+
+
+def solving(least: int, order: Order, finish: bool):
+    """A function on (doc_id, text): pieces, an array of period, first and past (match) as the tiles see them; n_words; and, to
+    ``finish`` texts without pieces, collapsed."""
 
     def work(ids: pa.Array, texts: pa.Array) -> pa.Array:
         known, found = ids.to_pylist(), [np.zeros((0, 4), dtype=np.int64)]
+        sizes, collapsed = [np.zeros(0, dtype=np.int64)], []
         for words in slices(texts):
             hashes = words.hashes.copy()
             for t, (a, b) in enumerate(zip(words.bounds[:-1].tolist(), words.bounds[1:].tolist())):
@@ -163,16 +172,25 @@ def finding(least: int, order: Order):
                 if taken is not None:
                     hashes[a:b] = words.hashes[a + taken]
             part = solve(replace(words, hashes=hashes), least)
+            if finish:
+                repeats = set(part[:, 0].tolist())
+                for t, (a, b) in enumerate(zip(words.borders[:-1].tolist(), words.borders[1:].tolist())):
+                    whole = None if t in repeats else b" ".join(arranged(known[words.first_row + t], words.data[a:b].tobytes(), order))
+                    collapsed.append(whole)
             part[:, 0] += words.first_row
             found.append(part)
+            sizes.append(np.diff(words.bounds))
         rows = np.concatenate(found)
         rows = rows[np.argsort(rows[:, 0], kind="stable")]
         borders = np.searchsorted(rows[:, 0], np.arange(len(texts) + 1))
         pieces = pa.StructArray.from_arrays([pa.array(rows[:, k]) for k in (1, 2, 3)], names=["period", "first", "past"])
-        return pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pieces)
+        listed = pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pieces)
+        texts_left = pa.array(collapsed, pa.binary()).cast(pa.string()) if finish else pa.nulls(len(texts), pa.string())
+        return pa.StructArray.from_arrays([listed, pa.array(np.concatenate(sizes)), texts_left], names=["pieces", "n_words", "collapsed"])
 
+    kind = "struct<pieces:array<struct<period:bigint,first:bigint,past:bigint>>,n_words:bigint,collapsed:string>"
     # Not to be evaluated again for a filter on its result.
-    return F.arrow_udf(work, "array<struct<period:bigint,first:bigint,past:bigint>>").asNondeterministic()
+    return F.arrow_udf(work, kind).asNondeterministic()
 
 
 def stitched(pieces: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
@@ -190,27 +208,22 @@ def stitched(pieces: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
 
 
 def collapsing(order: Order):
-    """A function on (doc_id, UTF-8 text, starts, lengths, periods): the number of words, and the words outside of repetitions."""
+    """A function on (doc_id, text, starts, lengths, periods): the words outside of repetitions, joined by one space."""
 
-    def keep(doc_id: int | None, text: bytes | None, starts, lengths, periods) -> tuple[int, str]:
-        words = (text or b"").split()  # bytes are split at space and \x09-\x0D, nothing else
-        taken = order(doc_id, len(words))
-        if taken is not None:
-            words = [words[i] for i in taken.tolist()]
+    def keep(doc_id: int | None, text: bytes, starts, lengths, periods) -> str:
+        words = arranged(doc_id, text, order)
         if starts is not None:
             change = np.zeros(len(words) + 1, dtype=np.int64)
             np.add.at(change, starts + periods, 1)
             np.add.at(change, starts + lengths, -1)
-            words_kept = [words[i] for i in np.flatnonzero(np.cumsum(change[:-1]) == 0).tolist()]
-            return len(words), b" ".join(words_kept).decode()
-        return len(words), b" ".join(words).decode()
+            words = [words[i] for i in np.flatnonzero(np.cumsum(change[:-1]) == 0).tolist()]
+        return b" ".join(words).decode()
 
-    def work(ids: pd.Series, texts: pd.Series, starts: pd.Series, lengths: pd.Series, periods: pd.Series) -> pd.DataFrame:
+    def work(ids: pd.Series, texts: pd.Series, starts: pd.Series, lengths: pd.Series, periods: pd.Series) -> pd.Series:
         known = [None if missing else int(i) for i, missing in zip(ids, ids.isna())]
-        rows = [keep(*row) for row in zip(known, texts, starts, lengths, periods)]
-        return pd.DataFrame(rows, columns=["n_words", "collapsed"])
+        return pd.Series([keep(*row) for row in zip(known, texts, starts, lengths, periods)], dtype=object)
 
-    return F.pandas_udf(work, "n_words bigint, collapsed string")
+    return F.pandas_udf(work, "string")
 
 
 def collapse_runs(docs: DataFrame, least: int = LEAST_WORDS, order: Order = as_written) -> DataFrame:
@@ -219,16 +232,17 @@ def collapse_runs(docs: DataFrame, least: int = LEAST_WORDS, order: Order = as_w
     collapsed: the words joined by one space, without those that some run holds after its first period.
     """
     rows = with_row_hash(packed(docs.drop(*RESULT))).drop("source").withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    solved = rows.withColumn("_pieces", finding(least, order)("doc_id", "text"))
-    marked = cut_lineage(solved.filter(F.size("_pieces") > 0).drop("text"))
-    pieces = marked.select(*ROW, F.explode("_pieces").alias("_piece")).select(*ROW, "_piece.*")
+    repeats = F.size("_solved.pieces") > 0
+    first = rows.withColumn("_solved", solving(least, order, finish=False)("doc_id", "text")).filter(repeats)
+    marked = cut_lineage(first.select("doc_id", "_doc", *ROW, "_solved.pieces", "_solved.n_words"))
+    pieces = marked.select(*ROW, F.explode("pieces").alias("_piece")).select(*ROW, "_piece.*")
     found = stitched(pieces, least).groupBy(*ROW)
     listed = found.agg(F.array_sort(F.collect_list(F.struct("start", "length", "period"))).alias("_runs"))
-    none = F.lit(None).cast("array<struct<start:bigint,length:bigint,period:bigint>>")
-    plain = solved.filter(F.size("_pieces") == 0).drop("_pieces").withColumn("_runs", none)
-    repeating = marked.withColumn("text", F.col("_doc.text")).drop("_pieces").join(listed.hint("merge"), ROW, "left")
-    both = plain.unionByName(repeating)
     parts = [F.col(f"_runs.{name}") for name in ("start", "length", "period")]
-    both = both.withColumn("_kept", collapsing(order)(F.col("doc_id"), F.col("text").cast("binary"), *parts))
-    runs = F.coalesce("_runs", F.array().cast("array<struct<start:bigint,length:bigint,period:bigint>>"))
-    return both.select("_doc.*", "_kept.n_words", runs.alias("runs"), "_kept.collapsed")
+    shorter = collapsing(order)(F.col("doc_id"), F.col("_doc.text").cast("binary"), *parts).alias("collapsed")
+    none = F.array().cast("array<struct<start:bigint,length:bigint,period:bigint>>")
+    repeating = marked.drop("pieces").join(listed.hint("merge"), ROW, "left")
+    repeating = repeating.select("_doc", "n_words", F.coalesce("_runs", none).alias("runs"), shorter)
+    plain = rows.withColumn("_solved", solving(least, order, finish=True)("doc_id", "text")).filter(~repeats)
+    plain = plain.select("_doc", "_solved.n_words", none.alias("runs"), "_solved.collapsed")
+    return plain.unionByName(repeating).select("_doc.*", *RESULT)
