@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import csv
+from collections import defaultdict
+from collections.abc import Iterator, Sequence
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from perilscope.session import cut_lineage
 from perilscope.vocab import DEFAULT_CUTOFFS, RAW_EVENTS
 
 # File naming.
@@ -14,6 +20,7 @@ DETAILS_GLOB = "*StormEvents_details*.csv.gz"
 YEAR_PATTERN = r"_d(\d{4})_"
 
 CLUSTER_BY = ("STATE", "EVENT_TYPE")
+ENCODING = "ISO-8859-1"
 
 
 def file_year(name):
@@ -21,18 +28,23 @@ def file_year(name):
     return F.regexp_extract(name, YEAR_PATTERN, 1).try_cast("bigint")
 
 
-def list_files(spark: SparkSession, folder: str, glob: str = DETAILS_GLOB) -> DataFrame:
-    """(path, file_name, year) of the detail files; only names are read, not contents."""
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+def list_files(spark: SparkSession, *folders: str, glob: str = DETAILS_GLOB) -> DataFrame:
+    """(path, file_name, year, bytes, location) of the detail files; only names are read, not contents.
+
+    location: the path as Spark's readers give it in ``_metadata``.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(list(folders))
     name = F.element_at(F.split("path", "/"), -1)
-    return listed.select("path", name.alias("file_name"), file_year(name).alias("year"))
+    return listed.select(
+        "path", name.alias("file_name"), file_year(name).alias("year"), F.col("length").alias("bytes"), F.col("_metadata.file_path").alias("location")
+    )
 
 
 def latest_versions(files: DataFrame) -> DataFrame:
     """One file per year: the last name in alphabetical order."""
     newest = files.filter(F.col("year").isNotNull()).groupBy("year")
-    picked = newest.agg(F.max(F.struct("file_name", "path")).alias("_f"))
-    return picked.select("year", F.col("_f.file_name").alias("file_name"), F.col("_f.path").alias("path"))
+    picked = newest.agg(F.max(F.struct("file_name", "path", "bytes")).alias("_f"))
+    return picked.select("year", "_f.file_name", "_f.path", "_f.bytes")
 
 
 def plan_years(
@@ -56,27 +68,61 @@ def conform(df: DataFrame, schema: T.StructType = RAW_EVENTS) -> DataFrame:
     )
 
 
+def _first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of a task's first file; the rest of the task's input isn't read."""
+    for batch in batches:
+        if len(batch):
+            yield batch.slice(0, 1)
+            return
+
+
+def read_headers(spark: SparkSession, files: Sequence[tuple[str, str]]) -> dict[str, str]:
+    """The first line by path, of (path, location) pairs; empty files have none.
+
+    One job that opens each file and stops at its first batch of lines. A task gives the header of its first file; where Spark put
+    several files in a task, the next job reads what is left.
+    """
+    found: dict[str, str] = {}
+    open_ = dict((location, path) for path, location in files)
+    while open_:
+        lines = spark.read.option("encoding", ENCODING).text(list(open_.values()))
+        starts = lines.select("value", F.col("_metadata.file_path").alias("location"), F.col("_metadata.file_block_start").alias("at"))
+        rows = starts.filter("at = 0").select("value", "location").mapInArrow(_first_line, "value string, location string").collect()
+        if not rows:  # a row per task at most
+            break
+        found |= {open_.pop(row["location"]): row["value"] for row in rows if row["location"] in open_}
+    return found
+
+
+def header_columns(line: str) -> list[str]:
+    """Column names of a header; a name that comes again gets its position."""
+    names = next(csv.reader([line.strip("\ufeff\r\n")]))
+    return [name if name not in names[:k] else f"{name}_{k}" for k, name in enumerate(names)]
+
+
 def read_events(spark: SparkSession, *paths: str, glob: str = DETAILS_GLOB) -> DataFrame:
     """Gzip CSV, latin-1, quoted newlines, everything as text and then bound to the raw schema.
 
-    Files whose header differs are read one header at a time: CSV columns have no names beyond their own file.
-    A gzip file is one task, so rows are spread again when the table is written.
+    CSV columns have no names beyond their own file, so files are grouped by header and each header is one scan of all its files
+    with a known schema. A gzip file is one task, so rows are spread again when the table is written.
     """
-    frames = [
-        conform(
-            spark.read.option("header", True)
-            .option("encoding", "ISO-8859-1")
+    files = [(row["path"], row["location"]) for row in list_files(spark, *paths, glob=glob).select("path", "location").collect()]
+    groups = defaultdict(list)
+    for path, line in read_headers(spark, files).items():
+        groups[line].append(path)
+    union = spark.createDataFrame([], RAW_EVENTS)
+    for number, line in enumerate(sorted(groups)):
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in header_columns(line)])
+        frame = conform(
+            spark.read.schema(schema)
+            .option("header", True)
+            .option("encoding", ENCODING)
             .option("multiLine", True)
             .option("quote", '"')
             .option("escape", '"')
-            .option("pathGlobFilter", glob)
-            .csv(path)
+            .csv(sorted(groups[line]))
         )
-        for path in paths
-    ]
-    union = frames[0]
-    for frame in frames[1:]:
-        union = union.unionByName(frame)
+        union = union.unionByName(frame) if number else frame
     return union
 
 
@@ -108,6 +154,61 @@ def write_years(events: DataFrame, table: str) -> None:
     )
 
 
+MANIFEST = T.StructType(
+    [
+        T.StructField("year", T.LongType()),
+        T.StructField("file_name", T.StringType()),
+        T.StructField("bytes", T.LongType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("checksum", T.LongType()),
+    ]
+)
+
+
+def manifest_of(table: str) -> str:
+    """Where the manifest of a raw table lies: a row per loaded year."""
+    return f"{table.rstrip('/')}_loads"
+
+
+def read_manifest(spark: SparkSession, table: str) -> DataFrame:
+    """(year, file_name, bytes, rows, checksum) of the years that were loaded to the end; none for a new table."""
+    try:
+        return spark.read.schema(MANIFEST).parquet(manifest_of(table))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], MANIFEST)
+
+
+def year_sums(table: DataFrame) -> DataFrame:
+    """(year, rows, checksum): the checksum doesn't depend on the order of rows or files."""
+    year = F.col("YEAR").cast("bigint").alias("year")
+    row = F.xxhash64(*[F.col(f"`{name}`") for name in sorted(table.columns) if name != "YEAR"])
+    return table.select(year, row.alias("h")).groupBy("year").agg(F.count(F.lit(1)).alias("rows"), F.bit_xor("h").alias("checksum"))
+
+
+def write_manifest(chosen: DataFrame, table: str) -> None:
+    """Replace the manifest rows of the years in ``chosen`` (year, file_name, bytes), after these years were written.
+
+    A year without a manifest row counts as not loaded: a job that fails between the two writes loads it again.
+    """
+    spark = chosen.sparkSession
+    years = [row["year"] for row in chosen.select("year").collect()]
+    stored = spark.read.parquet(table).filter(F.col("YEAR").isin(years))
+    entries = chosen.join(year_sums(stored), "year", "left").fillna(0, ["rows"])
+    entries.select(*MANIFEST.fieldNames()).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(
+        manifest_of(table)
+    )
+
+
+def damaged_years(spark: SparkSession, table: str) -> DataFrame:
+    """Loaded years whose stored rows no longer add up to the manifest: year, rows expected and found."""
+    found = year_sums(spark.read.parquet(table)).withColumnsRenamed({"rows": "found", "checksum": "sum"})
+    joined = read_manifest(spark, table).join(found, "year", "left")
+    same = (F.col("rows") == F.coalesce("found", F.lit(0))) & F.col("checksum").eqNullSafe(F.col("sum"))
+    return joined.filter(~same).select("year", "rows", F.coalesce("found", F.lit(0)).alias("found"))
+
+
 def load_events(
     spark: SparkSession,
     folder: str,
@@ -115,17 +216,25 @@ def load_events(
     current_year: int,
     year: int | None = None,
     min_year: int = DEFAULT_CUTOFFS.min_year,
+    reload_changed: bool = False,
 ) -> list[int]:
-    """List, choose versions, plan, read and replace the planned years. Returns the years written.
+    """List, choose versions, plan, read and replace the planned years, then note them in the manifest. Returns the years written.
 
-    The file list (one row per year) is the only thing the driver sees.
+    Loaded are the years that the manifest and the table both have. ``reload_changed`` also loads the years whose file is not the one
+    in the manifest any more. The file list (one row per year) is the only thing the driver sees.
     """
     files = latest_versions(list_files(spark, folder))
     if year is None:
-        wanted = plan_years(files, loaded_years(spark, table), current_year, min_year)
+        manifest = read_manifest(spark, table)
+        done = manifest.join(loaded_years(spark, table), "year", "left_semi")
+        if reload_changed:
+            done = done.join(files.select("year", "file_name", "bytes"), ["year", "file_name", "bytes"], "left_semi")
+        wanted = plan_years(files, done, current_year, min_year)
     else:
         wanted = files.select("year").filter(F.col("year") == year)
-    chosen = [(r.year, r.path) for r in files.join(wanted, "year", "left_semi").orderBy("year").collect()]
-    if chosen:
-        write_years(read_events(spark, *[path for _, path in chosen]), table)
-    return [y for y, _ in chosen]
+    chosen = cut_lineage(files.join(wanted, "year", "left_semi"))
+    listed = [(row["year"], row["path"]) for row in chosen.orderBy("year").collect()]
+    if listed:
+        write_years(read_events(spark, *[path for _, path in listed]), table)
+        write_manifest(chosen.select("year", "file_name", "bytes"), table)
+    return [y for y, _ in listed]

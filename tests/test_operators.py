@@ -96,10 +96,34 @@ def test_zero_median_slope_is_exact_on_both_routes(spark):
         assert found["late"].slope == 0.0
 
 
-def test_long_route_wants_whole_periods(spark):
-    frame = spark.createDataFrame([("a", t / 2, 1.0) for t in range(8)], "k string, t double, x double")
-    with pytest.raises(ValueError, match="whole"):
-        trend.mann_kendall(frame, ["k"], "t", "x", short=4)
+def test_fractional_periods_on_both_routes(spark):
+    rng = np.random.default_rng(8)
+    times = np.cumsum(rng.random(60) + 0.01)
+    series = {"a": [(float(t), float(v)) for t, v in zip(times, 0.3 * times + rng.normal(size=60))], "b": [(t / 2, float(t % 3)) for t in range(40)]}
+    frame = spark.createDataFrame([(k, t, x) for k, points in series.items() for t, x in points], "k string, t double, x double")
+    for short in (512, 10):
+        for row in trend.mann_kendall(frame, ["k"], "t", "x", short=short).collect():
+            s, _, slope, z, _, intercept = brute_trend(*map(np.array, zip(*series[row.k])))
+            assert row.s == s and row.slope == pytest.approx(slope, rel=1e-14) and row.intercept == pytest.approx(intercept, rel=1e-9)
+
+
+def test_selected_slopes_are_real_ones(spark, monkeypatch):
+    """Few drawn pairs and a low limit make several rounds; ties, one value and outliers among them."""
+    monkeypatch.setattr(trend, "DRAWN", 200)
+    monkeypatch.setattr(trend, "DRAWN_PER_POINT", 0)
+    monkeypatch.setattr(trend, "WRITTEN_PER_POINT", 1)
+    rng = np.random.default_rng(5)
+    t = np.arange(150)
+    series = {
+        "noise": rng.normal(size=150).cumsum(), "grid": rng.integers(0, 5, 150).astype(float), "steps": (t // 10).astype(float),
+        "flat": np.full(150, 7.5), "line": 2.5 * t - 3, "heavy": rng.standard_cauchy(150) * 1e6,
+    }
+    frame = series_frame(spark, {k: list(zip(t.tolist(), x.tolist())) for k, x in series.items()})
+    found = {r.k: r.slope for r in trend.mann_kendall(frame, ["k"], "t", "x", short=20).collect()}
+    for k, x in series.items():
+        slopes = np.sort([(x[j] - x[i]) / (t[j] - t[i]) for i in range(150) for j in range(i + 1, 150)])
+        low, high = slopes[(len(slopes) - 1) // 2], slopes[len(slopes) // 2]
+        assert found[k] == low + (high - low) * 0.5, k
 
 
 def test_trend_is_antisymmetric_and_handles_one_point(spark):

@@ -49,6 +49,57 @@ def test_listing_versions_and_plan(spark, landed):
     assert {r.year for r in events.plan_years(files, loaded, 1999).collect()} == {2000, 1999}
 
 
+def test_one_scan_per_header(spark, scratch):
+    """30 files with two headers, one in an odd place, one empty file and a blank in the folder's name."""
+    folder = Path(scratch) / "in two parts"
+    folder.mkdir()
+    for n in range(30):
+        name, text = details(1970 + n, "20210101", [f'{n},1,TEXAS,{1970 + n},Flood,Pi\xf1on,{n},0,"a\nb"'] * 50, extra=n % 7 == 0)
+        write_gz(folder / name, text)
+    write_gz(folder / "StormEvents_details-ftp_v1.0_d2005_c20210101.csv.gz", "")
+    read = events.read_events(spark, str(folder))
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 2
+    rows = read.collect()
+    assert len(rows) == 1500 and read.schema == RAW_EVENTS
+    assert {(r.EVENT_ID, r.YEAR, r.DEATHS_DIRECT, r.CZ_NAME, r.EVENT_NARRATIVE) for r in rows} == {(str(n), 1970 + n, n, "Pi\xf1on", "a\nb") for n in range(30)}
+    files = [(r.path, r.location) for r in events.list_files(spark, str(folder)).collect()]
+    assert len(events.read_headers(spark, files)) == 30 and events.read_headers(spark, []) == {}
+
+
+def test_headers_of_files_that_share_a_task(spark, landed):
+    files = [(r.path, r.location) for r in events.list_files(spark, landed).collect()]
+    usual = spark.conf.get("spark.sql.files.openCostInBytes")
+    found = []
+    for cost in ("1", "128m"):
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+        found.append(events.read_headers(spark, files))
+    spark.conf.set("spark.sql.files.openCostInBytes", usual)
+    assert len(found[0]) == 4 and found[0] == found[1]
+
+
+def test_header_names():
+    assert events.header_columns('\ufeffA,"B, C",A\r') == ["A", "B, C", "A_2"]
+
+
+def test_manifest_decides_what_is_loaded_again(spark, landed, scratch):
+    table = f"{scratch}/raw"
+    assert events.load_events(spark, landed, table, current_year=2000) == [1999, 2000]
+    noted = {r.year: r for r in events.read_manifest(spark, table).collect()}
+    assert {y: (r.rows, "c20210101" in r.file_name) for y, r in noted.items()} == {1999: (2, True), 2000: (1, True)}
+    assert events.damaged_years(spark, table).count() == 0
+    newer, text = details(1999, "20220101", ["9,1,TEXAS,1999,Flood,A,0,1K,newer"])
+    write_gz(Path(landed) / newer, text)
+    assert events.load_events(spark, landed, table, current_year=2000) == [2000]
+    assert events.load_events(spark, landed, table, current_year=2000, reload_changed=True) == [1999, 2000]
+    assert events.load_events(spark, landed, table, current_year=2000, reload_changed=True) == [2000]
+    noted = {r.year: r for r in events.read_manifest(spark, table).collect()}
+    assert noted[1999].file_name == newer and noted[1999].rows == 1 and len(noted) == 2
+    spark.read.parquet(table).filter("YEAR = 2000").limit(0).write.mode("overwrite").parquet(f"{table}/YEAR=2000")
+    assert [tuple(r) for r in events.damaged_years(spark, table).collect()] == [(2000, 1, 0)]
+    assert events.load_events(spark, landed, table, current_year=1999) == [1999, 2000], "a year that is gone from the table is loaded again"
+
+
 def test_load_is_idempotent_and_keeps_other_years(spark, landed, scratch):
     table = f"{scratch}/raw"
     assert events.loaded_years(spark, table).count() == 0
