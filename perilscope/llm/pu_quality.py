@@ -33,9 +33,9 @@ from perilscope.llm.wordhash import slices
 from perilscope.session import cut_lineage
 
 NEWTON_STEPS = 40
-FLAT = 1e-7  # length of a gradient that counts as none
-SECANTS = 30  # for the weight of the second part
-ZERO = 1e-6  # a second part this small counts as none
+FLAT = 1e-6  # length of a gradient that counts as none
+SHARES = 40  # tried for the second part
+ZERO = 1e-5  # a second part, or a share of it, this small counts as none
 RIDGE_ROWS = 3.0  # the ridge weighs as much as so many positives
 BINS = 200
 LEAST_SHARE = 0.1  # of the positives above a threshold that may give the prior
@@ -267,25 +267,23 @@ def fit_contrast(passes: Passes, ridge: float, size: int) -> np.ndarray:
 
 
 def fit_non_negative(passes: Passes, prior: float, ridge: float, size: int) -> np.ndarray:
-    """Weights of least non-negative unbiased risk."""
-    def at(share: float, start: np.ndarray) -> tuple[np.ndarray, float]:
-        w, p, u = minimise(passes, weighted_risk(prior, share), ridge, start)
-        return w, negative_part(p, u, prior)
-
-    w, high_part = at(1.0, np.zeros(size))
-    if high_part >= 0:
-        return w
-    w, low_part = at(0.0, w)
-    low, high = 0.0, 1.0
-    for _ in range(SECANTS if low_part > 0 else 0):  # the part falls as its weight grows: false position, halving an end that stays
-        share = (low * high_part - high * low_part) / (high_part - low_part)
-        w, part = at(share, w)
-        if abs(part) < ZERO:
+    """Weights of least non-negative unbiased risk.
+
+    The second part at the minimum falls as its share grows. Its derivative by the share follows from the sums at hand, so the share is
+    found by Newton steps too, kept inside the shares known to be too low and too high.
+    """
+    share, low, high, w = 1.0, 0.0, 1.0, np.zeros(size)
+    for _ in range(SHARES):
+        w, p, u = minimise(passes, weighted_risk(prior, share), ridge, w)
+        part = negative_part(p, u, prior)
+        if abs(part) < ZERO or (part > 0 and share == 1.0) or high < ZERO:
             break
-        if part > 0:
-            low, low_part, high_part = share, part, high_part / 2
-        else:
-            high, high_part, low_part = share, part, low_part / 2
+        low, high = (share, high) if part > 0 else (low, share)
+        rise = u.sx / u.rows - prior * p.sx / p.rows
+        along = -np.linalg.solve(weighted_risk(prior, share)(p, u)[2] + ridge * np.eye(size), rise)
+        wanted = share - part / (rise @ along)
+        wanted = wanted if low < wanted < high else (low + high) / 2
+        share, w = wanted, w + (wanted - share) * along
     return w
 
 
