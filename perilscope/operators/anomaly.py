@@ -118,6 +118,28 @@ def score_forest(df: DataFrame, nodes: DataFrame, features: Sequence[str], size:
     return df.mapInPandas(score, schema)
 
 
+def walk_forest(
+    df: DataFrame, nodes: DataFrame, features: Sequence[str], keys: Sequence[str], size: int, out: str, levels: int | None = None
+) -> DataFrame:
+    """``keys`` and the score, by joins: every row goes down all trees at once, one join with the node table per level.
+
+    Slower than ``score_forest``, but a forest of any size takes part as a table.
+    """
+    keys = list(keys)
+    levels = math.ceil(math.log2(max(size, 2))) if levels is None else levels
+    values = F.array(*[F.col(c).cast("double") for c in features]).alias("_x")
+    trees = nodes.agg(F.sort_array(F.collect_set("tree"))).scalar()
+    at = df.select(*keys, values, F.explode(trees).alias("tree")).withColumn("node", F.lit(0))
+    for _ in range(levels):
+        here = at.join(nodes.drop("depth"), ["tree", "node"])
+        goes_down = F.get("_x", F.col("feature")) < F.col("cut")
+        following = F.when(F.col("feature") < 0, F.col("node")).when(goes_down, F.col("below")).otherwise(F.col("above"))
+        at = here.select(*keys, "_x", "tree", following.alias("node"))
+    ended = at.join(nodes.select("tree", "node", "depth"), ["tree", "node"])
+    normal = expected_depth(size) or 1.0
+    return ended.groupBy(*keys).agg((-F.pow(F.lit(2.0), -F.avg("depth") / normal)).alias(out))
+
+
 def score_anomalies(
     df: DataFrame,
     features: Sequence[str],

@@ -9,9 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perilscope.functions.scalars import lookup, month_number, safe_ratio, tornado_scale
-from perilscope.operators.joins import broadcast_if_small
 from perilscope.operators.prefix import quantile_value
-from perilscope.session import cut_lineage
 from perilscope.vocab import EVENT_GROUPS, REGIONS
 
 LAGS = ("lag_event_count", "lag_deaths", "lag_damage")
@@ -25,10 +23,8 @@ def fatal_label(deaths: Column) -> Column:
 
 
 def attach_lags(events: DataFrame, lags: DataFrame) -> DataFrame:
-    """Previous-year totals of the event's state; 0 where there are none."""
-    # The yearly totals are one small aggregate of all events: computed once, then joined by its known size.
-    stored = cut_lineage(lags.select("state", "event_year", *LAGS))
-    joined = events.join(broadcast_if_small(stored), ["state", "event_year"], "left")
+    """Previous-year totals of the event's state; 0 where there are none. AQE broadcasts the totals once it knows their size."""
+    joined = events.join(lags.select("state", "event_year", *LAGS), ["state", "event_year"], "left")
     return joined.withColumns({c: F.coalesce(c, F.lit(0)) for c in LAGS})
 
 
@@ -69,55 +65,82 @@ def split_by_year(df: DataFrame, last_train_year: int, year: str = "event_year")
     return df.filter(F.col(year) <= last_train_year), df.filter(F.col(year) > last_train_year)
 
 
-def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """n / (classes x class size), as column; one pass counts the classes, the tiny result is joined."""
-    sizes = cut_lineage(df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")))
-    total = sizes.agg(F.sum("_n")).scalar()
-    classes = sizes.agg(F.count(F.lit(1))).scalar()
-    weights = sizes.select(label, safe_ratio(total, classes * F.col("_n")).alias(out))
-    return df.join(broadcast_if_small(weights), label, "left")
+def label_summary(df: DataFrame, label: str, categories: Sequence[str] = ()) -> DataFrame:
+    """One row: n, neg and pos (rows by label), classes (label to rows) and, per category, of_ (a map of value to rows and
+    positives), low_ and high_ (the extreme rates of its values).
 
-
-def positive_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Positives weigh as much as all negatives together."""
-    ratio = df.agg(safe_ratio(F.count_if(F.col(label) == 0), F.count_if(F.col(label) == 1))).scalar()
-    return df.withColumn(out, F.when(F.col(label) == 1, ratio).otherwise(1.0))
+    One aggregation over grouping sets counts all of it in one scan. Categories are columns of a vocabulary: the row grows
+    with the vocabularies, not with the data.
+    """
+    columns = [label, *categories]
+    sets = [[], *[[c] for c in columns]]
+    counts = {"_n": F.count(F.lit(1)), "_neg": F.count_if(F.col(label) == 0), "_pos": F.count_if(F.col(label) == 1)}
+    kept = df.select(*columns).withColumns({f"_k{k}": F.col(c) for k, c in enumerate(columns)})
+    keys = [f"_k{k}" for k in range(len(columns))]
+    cells = kept.groupingSets([[f"_k{columns.index(c)}" for c in one] for one in sets], *keys).agg(
+        *[value.alias(out) for out, value in counts.items()], F.grouping_id().alias("_set")
+    )
+    everything = (1 << len(columns)) - 1  # a bit per column that is not in the set, the first column highest
+    whole = F.col("_set") == everything
+
+    def only(k: int, value: Column) -> Column:
+        here = (F.col("_set") == everything - (1 << (len(columns) - 1 - k))) & F.col(f"_k{k}").isNotNull()
+        return F.map_from_entries(F.collect_list(F.when(here, F.struct(F.col(f"_k{k}"), value))))
+
+    of_category = F.struct(F.col("_n").alias("n"), F.col("_pos").alias("pos"))
+    summary = cells.agg(
+        *[F.max(F.when(whole, F.col(c))).alias(out) for c, out in (("_n", "n"), ("_neg", "neg"), ("_pos", "pos"))],
+        only(0, F.col("_n")).alias("classes"),
+        *[only(k + 1, of_category).alias(f"of_{c}") for k, c in enumerate(categories)],
+    )
+    for c in categories:
+        rates = F.transform(F.map_values(f"of_{c}"), _rate)
+        summary = summary.withColumns({f"low_{c}": F.array_min(rates), f"high_{c}": F.array_max(rates)})
+    return summary
 
 
-def _label_cells(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
-    """Rows and positives per combination of categories, stored."""
-    counts = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(label).cast("bigint")).alias("_pos"))
-    return cut_lineage(counts)
+def known(summary: DataFrame, now: bool = False) -> Column:
+    """The row of a summary as one column: computed by the query that uses it, or ``now``, once for many queries."""
+    row = summary.select(F.struct("*").alias("known"))
+    if not now:
+        return row.scalar()
+    text, kind = row.select(F.to_json("known").alias("text")).first()[0], row.schema["known"].dataType
+    return F.from_json(F.lit(text), kind)
 
 
-def danger_weights(df: DataFrame, category: str, label: str, out: str = "weight") -> DataFrame:
-    """Positives: odds against the label, times 1 to 5 by the category's own rate. Negatives: 1.
+def _rate(cell: Column) -> Column:
+    return safe_ratio(cell["pos"], cell["n"])
 
-    One pass counts (category, positives); all rates follow from that small table.
-    """
-    cells = _label_cells(df, [category], label)
-    share = cells.agg(safe_ratio(F.sum("_pos"), F.sum("_n"))).scalar()
-    rates = cells.filter(F.col(category).isNotNull()).select(category, safe_ratio(F.col("_pos"), F.col("_n")).alias("_rate"))
-    low, high = rates.agg(F.min("_rate")).scalar(), rates.agg(F.max("_rate")).scalar()
-    spread = F.try_divide(F.col("_rate") - low, high - low)
-    factors = rates.select(category, (1 + DANGER_RANGE * spread).alias("_factor"))
-    joined = df.join(broadcast_if_small(factors), category, "left")
-    positive = F.try_divide(1 - share, share) * F.coalesce("_factor", F.lit(1.0))
-    return joined.withColumn(out, F.when(F.col(label) == 1, positive).otherwise(1.0)).drop("_factor")
 
+def balanced_weights(df: DataFrame, label: str, out: str = "weight", seen: Column | None = None) -> DataFrame:
+    """n / (classes x class size). ``seen``: what is ``known`` of the rows that count, these rows by default."""
+    seen = known(label_summary(df, label)) if seen is None else seen
+    size = F.try_element_at(seen["classes"], F.col(label))
+    return df.withColumn(out, safe_ratio(seen["n"], F.size(F.map_keys(seen["classes"])) * size))
 
-def target_encode(train: DataFrame, df: DataFrame, columns: dict[str, str], label: str) -> DataFrame:
-    """Training rate per category value; values unseen in training get the overall rate.
 
-    One pass over the training rows counts the combinations; every rate is a sum of those cells.
-    """
-    cells = _label_cells(train, list(columns), label)
-    overall = cells.agg(safe_ratio(F.sum("_pos"), F.sum("_n"))).scalar()
-    for column, out in columns.items():
-        known = cells.filter(F.col(column).isNotNull()).groupBy(column)
-        rates = known.agg(safe_ratio(F.sum("_pos"), F.sum("_n")).alias(out))
-        df = df.join(broadcast_if_small(rates), column, "left").withColumn(out, F.coalesce(out, overall))
-    return df
+def positive_weights(df: DataFrame, label: str, out: str = "weight", seen: Column | None = None) -> DataFrame:
+    """Positives weigh as much as all negatives together."""
+    seen = known(label_summary(df, label)) if seen is None else seen
+    return df.withColumn(out, F.when(F.col(label) == 1, safe_ratio(seen["neg"], seen["pos"])).otherwise(1.0))
+
+
+def danger_weights(df: DataFrame, category: str, label: str, out: str = "weight", seen: Column | None = None) -> DataFrame:
+    """Positives: odds against the label, times 1 to 5 by the category's own rate. Negatives: 1."""
+    seen = known(label_summary(df, label, [category])) if seen is None else seen
+    share = safe_ratio(seen["pos"], seen["n"])
+    low, high = seen[f"low_{category}"], seen[f"high_{category}"]
+    spread = F.try_divide(_rate(F.try_element_at(seen[f"of_{category}"], F.col(category))) - low, high - low)
+    positive = F.try_divide(1 - share, share) * F.coalesce(1 + DANGER_RANGE * spread, F.lit(1.0))
+    return df.withColumn(out, F.when(F.col(label) == 1, positive).otherwise(1.0))
+
+
+def target_encode(train: DataFrame, df: DataFrame, columns: dict[str, str], label: str, seen: Column | None = None) -> DataFrame:
+    """Training rate per category value; values unseen in training get the overall rate."""
+    seen = known(label_summary(train, label, list(columns))) if seen is None else seen
+    overall = safe_ratio(seen["pos"], seen["n"])
+    rates = {out: _rate(F.try_element_at(seen[f"of_{c}"], F.col(c))) for c, out in columns.items()}
+    return df.withColumns({out: F.coalesce(rate, overall) for out, rate in rates.items()})
 
 
 def impute(df: DataFrame, density_median: float | None = None) -> DataFrame:

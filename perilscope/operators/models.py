@@ -6,13 +6,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel, OneVsRest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from perilscope.functions.scalars import safe_ratio
 from perilscope.operators.scaling import Scaling, scaling_stage
 
 FEATURES = "features"
@@ -115,6 +116,76 @@ def with_calibrated(model: IsotonicRegressionModel, df: DataFrame, score: str, o
     return mapped.withColumnRenamed("_calibrated", out).drop("_s")
 
 
+def logistic_gradient(model: LogisticRegressionModel, df: DataFrame, label: str, weight: str | None = None, strength: float = 1.0) -> DataFrame:
+    """One row: rows, weight, and the gradient of the penalised mean loss at the model's coefficients, intercept last.
+
+    The objective is that of ``fit_logistic``; at its minimum every entry is 0. One aggregation over the rows.
+    """
+    x = vector_to_array(FEATURES)
+    w = F.col(weight) if weight else F.lit(1.0)
+    rows = with_score(model, df, "_p").select(x.alias("_x"), w.alias("_w"), (w * (F.col("_p") - F.col(label))).alias("_off"))
+    size = model.numFeatures
+    sums = rows.agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("_w").alias("weight"), *[F.sum(F.col("_off") * F.col("_x")[k]).alias(f"g{k}") for k in range(size)],
+        F.sum("_off").alias(f"g{size}"),
+    )
+    pull = [float(c) / strength for c in model.coefficients] + [0.0]
+    gradient = F.array(*[(F.col(f"g{k}") + F.lit(pull[k])) / F.col("weight") for k in range(size + 1)])
+    return sums.select("rows", "weight", gradient.alias("gradient"))
+
+
+TREE_NODES = "tree int, weight double, id int, feature int, threshold double, left int, right int, prediction double, gain double, rows double"
+
+
+def tree_nodes(spark: SparkSession, model: GBTClassificationModel) -> DataFrame:
+    """A fitted ensemble as a table: a row per node; leaves have no feature. Bounded by rounds and depth, not by the data."""
+    rows = []
+    for number, (tree, weight) in enumerate(zip(model.trees, model.treeWeights)):
+        stack, count = [(tree._java_obj.rootNode(), 0)], 1  # type: ignore[attr-defined]
+        while stack:
+            node, at = stack.pop()
+            leaf = node.subtreeDepth() == 0
+            split = None if leaf else node.split()
+            left, right = (None, None) if leaf else (count, count + 1)
+            rows.append((
+                number, float(weight), at, None if leaf else split.featureIndex(), None if leaf else float(split.threshold()), left, right,
+                float(node.prediction()), None if leaf else float(node.gain()), float(node.impurityStats().count()),
+            ))
+            if not leaf:
+                stack += [(node.leftChild(), left), (node.rightChild(), right)]
+                count += 2
+    return spark.createDataFrame(rows, TREE_NODES)
+
+
+def tree_expression(nodes: DataFrame, names: Sequence[str]) -> Column:
+    """The probability of class 1 as nested CASE expressions on plain columns: scoring without vectors or a model object."""
+    trees: dict[int, dict] = {}
+    for row in nodes.collect():  # a fitted model
+        trees.setdefault(row["tree"], {})[row["id"]] = row
+
+    def value(tree: dict, at: int) -> Column:
+        node = tree[at]
+        if node["feature"] is None:
+            return F.lit(node["prediction"])
+        goes_left = F.col(names[node["feature"]]) <= node["threshold"]
+        return F.when(goes_left, value(tree, node["left"])).otherwise(value(tree, node["right"]))
+
+    margin = F.lit(0.0)
+    for number in sorted(trees):
+        margin = margin + trees[number][0]["weight"] * value(trees[number], 0)
+    return 1 / (1 + F.exp(-2 * margin))
+
+
+def tree_importances(nodes: DataFrame, names: Sequence[str]) -> DataFrame:
+    """feature, importance: gain times rows of the splits on it, as a share of all splits; features never used have 0."""
+    used = nodes.filter(F.col("feature").isNotNull()).groupBy("feature").agg(F.sum(F.col("gain") * F.col("rows")).alias("part"))
+    total = used.agg(F.sum("part")).scalar()
+    listed = nodes.sparkSession.createDataFrame(list(enumerate(names)), "number int, feature_name string")
+    return listed.join(used, listed["number"] == used["feature"], "left").select(
+        F.col("feature_name").alias("feature"), F.coalesce(safe_ratio(F.col("part"), total), F.lit(0.0)).alias("importance")
+    )
+
+
 def importances(spark: SparkSession, model, names: Sequence[str], top: int | None = None) -> DataFrame:
     """Coefficients or impurity importance per feature, largest first; one row per feature."""
     values = model.coefficients if hasattr(model, "coefficients") else model.featureImportances

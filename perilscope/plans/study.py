@@ -87,13 +87,13 @@ def compare_models(enriched: DataFrame, setup: Setup, smote_ratio: float = 0.1)
     """Every model of the study on the test years, with blends: areas, chosen cut-off, recall."""
     names = setup.feature_names()
     frame = cut_lineage(fatality_frame(enriched, setup))
-    train, test = ft.split_by_year(frame, setup.last_train_year)
-    encoded = ft.target_encode(train, frame, RATES, LABEL)
-    everything = cut_lineage(encoded)
-    train, test = ft.split_by_year(everything, setup.last_train_year)
-    balanced = ft.balanced_weights(train, LABEL, "w_balanced")
-    weighted = ft.danger_weights(balanced, "event_type_group", LABEL, "w_danger")
-    weighted = cut_lineage(ft.positive_weights(weighted, LABEL, "w_positive"))
+    train, _ = ft.split_by_year(frame, setup.last_train_year)
+    seen = ft.known(ft.label_summary(train, LABEL, list(RATES)), now=True)
+    encoded = ft.target_encode(train, frame, RATES, LABEL, seen)
+    weighted = ft.positive_weights(ft.balanced_weights(encoded, LABEL, "w_balanced", seen), LABEL, "w_positive", seen)
+    weighted = ft.danger_weights(weighted, "event_type_group", LABEL, "w_danger", seen)
+    train, test = ft.split_by_year(encoded, setup.last_train_year)
+    weighted, _ = ft.split_by_year(weighted, setup.last_train_year)
     rates = list(RATES.values())
     shapes = {
         "one_hot": (names, NUMERIC),

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from verification import modelling, readers, relational, statistics
+from verification import companions, modelling, readers, relational, statistics
 from verification.relational import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "modelling", "readers", "relational", "statistics"]
+__all__ = ["ORACLES", "QUERIES", "companions", "modelling", "readers", "relational", "statistics"]
