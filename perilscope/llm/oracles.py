@@ -116,28 +116,29 @@ FROM w LEFT JOIN kept USING (doc_id)
 """
 
 LINE_RULES = rf"""
-WITH w AS (SELECT doc_id, source, coalesce(text, '') AS text, {WORDS} AS ws,
+WITH w AS (SELECT doc_id, source, coalesce(text, '') AS text, md5(coalesce(text, '')) AS h, {WORDS} AS ws,
            list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
            FROM documents),
 wins AS (SELECT doc_id, i, array_to_string(list_slice(ws, i, i + 4), ' ') AS win
          FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5)),
 twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, win) AS c FROM wins) WHERE c > 1),
 covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY doc_id),
-lines AS (SELECT doc_id, source, trim(regexp_replace(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-              '[\x20\x09-\x0D]+', ' ', 'g')) AS line FROM (SELECT doc_id, source, unnest(ls) AS l FROM w)),
-hosts AS (SELECT source, count(*) AS docs FROM w GROUP BY source),
-often AS (SELECT l.source, line FROM lines l JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source GROUP BY l.source, line, docs
-          HAVING count(DISTINCT doc_id) >= {line_rules.LEAST_DOCUMENTS} AND count(DISTINCT doc_id) > {line_rules.HOST_SHARE} * docs),
-gone AS (SELECT doc_id, sum(len(string_split(l.line, ' '))) AS n FROM lines l JOIN often o
+lines AS (SELECT doc_id, source, h, trim(regexp_replace(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[\x20\x09-\x0D]+', ' ', 'g')) AS line FROM (SELECT doc_id, source, h, unnest(ls) AS l FROM w)),
+hosts AS (SELECT source, count(DISTINCT h) AS texts FROM w GROUP BY source),
+often AS (SELECT l.source, line FROM lines l JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source GROUP BY l.source, line, texts
+          HAVING count(DISTINCT h) >= {line_rules.LEAST_DOCUMENTS} AND count(DISTINCT h) > {line_rules.HOST_SHARE} * texts),
+gone AS (SELECT doc_id, sum(len(string_split(l.line, ' '))) AS n, count(*) AS lines FROM lines l JOIN often o
          ON l.line = o.line AND l.source IS NOT DISTINCT FROM o.source GROUP BY doc_id),
 base AS (SELECT doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
          (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
-         coalesce(g.n, 0) AS removed FROM w LEFT JOIN covered c USING (doc_id) LEFT JOIN gone g USING (doc_id))
+         coalesce(g.n, 0)::BIGINT AS n_removed, coalesce(g.lines, 0)::BIGINT AS n_frequent_lines FROM w LEFT JOIN covered c USING (doc_id) LEFT JOIN gone g USING (doc_id))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     n_words < {line_rules.MIN_WORDS} OR 100 * n_repeat_words > {line_rules.MAX_REPEATED_PERCENT} * n_words AS base_failed,
     NOT (n_words < {line_rules.MIN_WORDS} OR 100 * n_repeat_words > {line_rules.MAX_REPEATED_PERCENT} * n_words)
-        AND n_words - removed >= {line_rules.DEPLETED} * n_words AS kept
+        AND n_words - n_removed >= {line_rules.DEPLETED} * n_words AND n_words - n_removed >= {line_rules.MIN_WORDS} AS kept,
+    n_removed, n_frequent_lines
 FROM base
 """
 

@@ -94,7 +94,7 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = line_rules.judge(table(spark, sf_dir, "documents"))
-    return judged.select("doc_id", *line_rules.MEASURES, "base_failed", "kept")
+    return judged.select("doc_id", *line_rules.MEASURES, "base_failed", "kept", "n_removed", "n_frequent_lines")
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

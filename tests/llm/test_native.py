@@ -47,6 +47,22 @@ def test_frequent_lines_deplete_documents(spark):
     assert {r["doc_id"] for r in line_rules.keep(docs).collect()} == {i for i, (_, k) in kept.items() if k}
 
 
+def test_frequent_lines_leave_the_text(spark):
+    notice = ["Home   News about\tUS", "", "Terms and conditions of this place"]
+    rows = [(n, "\n".join([notice[0], prose(100 * n, 20), *notice[1:], prose(100 * n + 50, 20)]), "en", "h", None if n == 7 else 1) for n in range(30)]
+    rows += [(100 + n, "\n".join([*notice, prose(90_000 + 100 * n, 9)]), "en", "h", 1) for n in range(3)]
+    docs = spark.createDataFrame(rows, DOCUMENTS).withColumns({"_gone": F.lit("own"), "at": F.lit("own")})
+    kept = line_rules.keep(docs)
+    assert kept.columns == docs.columns and {(r["_gone"], r["at"]) for r in kept.collect()} == {("own", "own")}
+    texts = {r["doc_id"]: (r["text"], r["n_chars"]) for r in kept.collect()}
+    assert set(texts) == set(range(30)), "nine words are left of the others"
+    for n in range(30):
+        left = f"{prose(100 * n, 20)}\n\n{prose(100 * n + 50, 20)}"
+        assert texts[n] == (left, len(left))
+    judged = {r["doc_id"]: r for r in line_rules.judge(docs).collect()}
+    assert (judged[0]["n_removed"], judged[0]["n_frequent_lines"], judged[100]["base_failed"], judged[100]["kept"]) == (10, 2, False, False)
+
+
 def test_lines_of_a_few_percent_are_frequent_and_copies_are_not(spark):
     """A notice on 30 of 640 documents of a host; 40 copies of one text count once."""
     notice = " ".join(f"Notice{n}" for n in range(30))
