@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perilscope.llm.graph import components
-from perilscope.llm.text import broadcast_if_few
+from perilscope.llm.text import ROW_KEY, broadcast_if_few, packed, with_row_hash
 from perilscope.llm.wordhash import mixed, slices
 from perilscope.session import cut_lineage
 
@@ -302,6 +302,15 @@ def near_duplicates(
 def keep_one(
     docs: DataFrame, words_each: int = 5, similarity: Fraction = Fraction(4, 5)
 ) -> DataFrame:
-    """The documents that stay: all but those whose group has a smaller doc_id. Columns as before."""
+    """The documents that stay: all but those whose group has a smaller doc_id. Columns as before.
+
+    Of rows that repeat doc_id (or have none), source and text, one stays. Such rows are rare: only they are shuffled for it.
+    """
     dropped = near_duplicates(docs, words_each, similarity).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(broadcast_if_few(cut_lineage(dropped)), "doc_id", "left_anti").select(*docs.columns)
+    row = ROW_KEY[:3]
+    keyed = with_row_hash(packed(docs.join(broadcast_if_few(cut_lineage(dropped)), "doc_id", "left_anti").select(*docs.columns)))
+    several = cut_lineage(with_row_hash(docs.select("doc_id", "source", "text")).groupBy(*row).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*row))
+    several = broadcast_if_few(several)
+    once = keyed.join(several, row, "left_anti").select("_doc.*")
+    first = keyed.join(several, row, "left_semi").dropDuplicates(row).select("_doc.*")
+    return once.union(first)
