@@ -3,8 +3,9 @@
 1. Pack: the documents of a source are laid end to end in a seeded order and their words cut into blocks of a fixed
    length (the last block of a source may be shorter).
 2. Draw: every source gets a whole number of slots, its target in blocks. The slots are dealt over the places of the
-   output shards by a pseudorandom permutation. The counts per shard are then a multinomial draw given the totals of
-   the sources: independent draws would miss a target by the root of its slots and could exceed the repeat limit.
+   output shards by a pseudorandom permutation. The counts per shard are then a multivariate hypergeometric draw: multinomial
+   draws for each shard, given the totals of the sources. Without that condition a source would miss its target by the root
+   of its slots and could exceed the repeat limit. Targets are met to one and a half blocks.
 3. Map: the slots of a source run through a pseudorandom permutation of its block numbers, a new one for each pass,
    so each block is taken as often as any other, give or take one.
 4. Join the blocks by (source, block number).
@@ -28,7 +29,7 @@ from perilscope.llm.text import ROW_KEY, attach, with_row_key, words
 from perilscope.session import cut_lineage, shuffle_width
 
 WEIGHTS = (1, 2, 3)
-BLOCK_WORDS = 64
+BLOCK_WORDS = 32
 SHARD_BLOCKS = 4096
 MAX_REPEAT = 3
 ROUNDS = 12
