@@ -292,5 +292,6 @@ def extract(pages: DataFrame, html: str = "html") -> DataFrame:
             yield batch.map(main_text, na_action=None)
 
     found = F.pandas_udf(texts, "string")
-    rows = pages.withColumn("_main_text", found(F.col(html))).drop(html, "text", "n_chars")
-    return rows.withColumnsRenamed({"_main_text": "text"}).withColumn("n_chars", F.char_length("text").cast("bigint"))
+    others = [F.col(f"`{name}`") for name in pages.columns if name not in (html, "text", "n_chars")]
+    rows = pages.select(*others, found(F.col(html)).alias("text"))
+    return rows.withColumn("n_chars", F.char_length("text").cast("bigint"))

@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from perilscope.llm.wordhash import SLICE_BYTES, texts_of
 from perilscope.session import cut_lineage
@@ -124,8 +125,7 @@ def text_evidence(rows: DataFrame, shares: np.ndarray) -> DataFrame:
             arrays = [batch.column(batch.schema.get_field_index(name)) for name in names]
             yield pa.RecordBatch.from_arrays([*arrays, lists], names=[*names, "_text"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return rows.mapInArrow(work, f"{schema}, _text array<double>")
+    return rows.mapInArrow(work, T.StructType([*kept, T.StructField("_text", T.ArrayType(T.DoubleType()))]))
 
 
 def normalised(logs: Column) -> Column:
@@ -154,10 +154,12 @@ def host_counts(rows: DataFrame, keys: list[str], langs: list[str], out: str) ->
 
 
 def identify(rows: DataFrame, langs: list[str], shares: np.ndarray) -> DataFrame:
-    """Replace text, declared, address and host by lang and confidence. Other columns stay."""
-    others = [name for name in rows.columns if name not in ("text", "declared", "address", "host")]
+    """Replace text, declared, address and host by lang and confidence. Other columns stay, but for those called like an output."""
+    others = [name for name in rows.columns if name not in ("text", "declared", "address", "host", "lang", "confidence")]
     if not langs:
-        return rows.select(*others, F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("confidence"))
+        return rows.select(*[f"`{name}`" for name in others], F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("confidence"))
+    packed = F.struct(*[F.col(f"`{name}`") for name in others], F.lit(0).alias("_")).alias("_row")  # whatever its columns are called
+    rows = rows.select(packed, "text", "declared", "address", "host")
     hints = summed(hint(F.col("declared"), langs, DECLARED_RIGHT), hint(F.col("address"), langs, ADDRESS_RIGHT))
     found = text_evidence(rows, shares).withColumn("_log", summed(F.col("_text"), hints))
     found = found.withColumn("_own", normalised(F.col("_log"))).drop("_text", "declared", "address")
@@ -184,7 +186,8 @@ def identify(rows: DataFrame, langs: list[str], shares: np.ndarray) -> DataFrame
     joined = joined.withColumn("_final", final).withColumn("confidence", F.array_max("_final"))
     names = F.array(*[F.lit(lang) for lang in langs])
     lang = F.element_at(names, F.array_position("_final", F.col("confidence")).cast("int"))
-    return joined.select(*others, lang.alias("lang"), "confidence")
+    kept = [F.col("_row").getField(name).alias(name) for name in others]
+    return joined.select(*kept, lang.alias("lang"), "confidence")
 
 
 def declared_language(html: Column) -> Column:

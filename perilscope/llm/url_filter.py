@@ -150,12 +150,15 @@ def judge(
 
     counted = F.pandas_udf(counts, "n_strict bigint, n_soft bigint")
     whole = F.translate(F.col(url), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    rows = pages.drop(*[n for n in names if n != url]).withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
+    others = [n for n in pages.columns if n not in names or n == url]
+    row = F.struct(*[F.col(f"`{n}`") for n in others], F.lit(0).alias("_")).alias("_row")  # whatever its columns are called
+    rows = pages.select(row, host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"), whole.alias("_whole"))
     host, path = F.col("host"), F.col("path")
     longest = sorted(rules, key=lambda r: -len(r[1]))
     rule = F.coalesce(*[F.when(fits(text, host, path), F.lit(text)) for _, text in longest])
     ruled = F.coalesce(*[F.when(fits(text, host, path), F.lit(verdict)) for verdict, text in longest])
-    rows = rows.withColumns({"rule": rule, "_ruled": ruled, "_hits": counted(whole)})
+    rows = rows.withColumns({"rule": rule, "_ruled": ruled, "_hits": counted(F.col("_whole"))})
     blocked = (F.col("_hits.n_strict") >= 1) | (F.col("_hits.n_soft") >= soft_limit)
     verdict = F.coalesce("_ruled", F.when(blocked, F.lit("block")).otherwise(F.lit("allow")))
-    return rows.select("*", "_hits.*", verdict.alias("verdict")).drop("_hits", "_ruled")
+    kept = [F.col("_row").getField(n).alias(n) for n in others]
+    return rows.select(*kept, "host", "path", "rule", "_hits.*", verdict.alias("verdict"))

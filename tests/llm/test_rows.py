@@ -1,6 +1,7 @@
 """Operators that look at one row at a time: URL filter and HTML text."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from perilscope.llm import html_text, url_filter
 from tests.llm.conftest import rows_of
@@ -177,3 +178,23 @@ def test_pages_of_the_shared_tables(spark):
         inner = re.search(r"<article>(.*?)(?:</article>|<footer)", row["html"], re.S)[1]
         plain = re.sub(r"<[^>]*>", lambda tag: "" if tag[0] in ("<b>", "</b>") else " ", inner)
         assert html_text.main_text(row["html"]) == " ".join(unescape(plain).split())
+
+
+def test_inner_names_clash_with_nothing(spark):
+    from perilscope.llm import language
+
+    pages = spark.createDataFrame([("http://example.org/a", "<p>one two three</p>")], "url string, html string")
+    own = pages.withColumns({name: F.lit(f"own {name}") for name in ("_ruled", "_hits", "_main_text", "_row", "_whole", "_", "verdict", "n_chars", "a.b")})
+    judged = url_filter.judge(own)
+    assert judged.columns == ["url", "html", "_ruled", "_hits", "_main_text", "_row", "_whole", "_", "n_chars", "a.b", "host", "path", "rule", "n_strict", "n_soft", "verdict"]
+    assert judged.first()["_hits"] == "own _hits" and judged.first()["verdict"] == "allow"
+    extracted = html_text.extract(own)
+    assert extracted.first()["_main_text"] == "own _main_text" and extracted.first()["n_chars"] == len("one two three")
+    assert extracted.columns == ["url", "_ruled", "_hits", "_main_text", "_row", "_whole", "_", "verdict", "a.b", "text", "n_chars"]
+    langs, shares = language.train(spark.createDataFrame([("aa bb aa", "x"), ("cc dd cc", "y")], "text string, lang string"))
+    none = F.lit(None).cast("string")
+    rows = own.select("*", F.lit("aa bb").alias("text"), none.alias("declared"), none.alias("address"), none.alias("host"))
+    rows = rows.withColumns({name: F.lit("own") for name in ("_own", "_log", "_domain", "_final", "lang", "confidence")})
+    found = language.identify(rows, langs, shares)
+    assert len(set(found.columns)) == len(found.columns) and found.columns[-2:] == ["lang", "confidence"]
+    assert (found.first()["lang"], found.first()["_own"], found.first()["a.b"]) == ("x", "own", "own a.b")
