@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perilscope.llm.wordhash import SLICE_BYTES, texts_of
+from perilscope.llm.text import bundled
 from perilscope.session import cut_lineage
 
 BUCKETS = 4096
@@ -158,8 +159,7 @@ def identify(rows: DataFrame, langs: list[str], shares: np.ndarray) -> DataFrame
     others = [name for name in rows.columns if name not in ("text", "declared", "address", "host", "lang", "confidence")]
     if not langs:
         return rows.select(*[f"`{name}`" for name in others], F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("confidence"))
-    packed = F.struct(*[F.col(f"`{name}`") for name in others], F.lit(0).alias("_")).alias("_row")  # whatever its columns are called
-    rows = rows.select(packed, "text", "declared", "address", "host")
+    rows = rows.select(bundled(others).alias("_row"), "text", "declared", "address", "host")
     hints = summed(hint(F.col("declared"), langs, DECLARED_RIGHT), hint(F.col("address"), langs, ADDRESS_RIGHT))
     found = text_evidence(rows, shares).withColumn("_log", summed(F.col("_text"), hints))
     found = found.withColumn("_own", normalised(F.col("_log"))).drop("_text", "declared", "address")

@@ -36,7 +36,7 @@ FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON least.a = d.d
 
 
 def term_hits(terms: tuple[str, ...]) -> str:
-    tests = [f"CAST(regexp_matches(low, '(^|[^a-z0-9]){term}([^a-z0-9]|$)') AS BIGINT)" for term in terms]
+    tests = [f"CAST(regexp_matches(low, '(^|[^a-z]){term}([^a-z]|$)') AS BIGINT)" for term in terms]
     return " + ".join(tests)
 
 
@@ -55,11 +55,11 @@ WITH parts AS (
         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
             'abcdefghijklmnopqrstuvwxyz') AS host,
         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
-counted AS (SELECT *, {term_hits(url_filter.STRICT)} AS n_strict, {term_hits(url_filter.SOFT)} AS n_soft FROM parts)
-SELECT page_id, host, path, n_strict, n_soft,
+counted AS (SELECT *, {term_hits(url_filter.STRICT)} AS n_strict, {term_hits(url_filter.SOFT)} AS heavy, {term_hits(url_filter.WEAK)} AS light FROM parts)
+SELECT page_id, host, path, n_strict, heavy + light AS n_soft, 2 * heavy + light AS soft_weight,
     CASE {" ".join(f"WHEN {test} THEN '{rule}'" for test, rule, _ in fitting(url_filter.RULES))} END AS rule,
     CASE {" ".join(f"WHEN {test} THEN '{verdict}'" for test, _, verdict in fitting(url_filter.RULES))}
-        WHEN n_strict >= 1 OR n_soft >= {url_filter.SOFT_LIMIT} THEN 'block' ELSE 'allow' END AS verdict
+        WHEN n_strict >= 1 OR 2 * heavy + light >= {url_filter.SOFT_LIMIT} THEN 'block' ELSE 'allow' END AS verdict
 FROM counted
 """
 

@@ -68,7 +68,7 @@ def op2_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
-    return judged.select("page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft")
+    return judged.select("page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft", "soft_weight")
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -57,6 +57,12 @@ def with_row_key(df: DataFrame) -> DataFrame:
     return with_row_hash(df).withColumn("_nth", F.row_number().over(same))
 
 
+def bundled(names: list[str]) -> Column:
+    """Some columns, or none, as one: whatever they are called, they clash with nothing."""
+    filler = "_" * (1 + max((len(name) for name in names), default=0))
+    return F.struct(*[F.col(f"`{name}`") for name in names], F.lit(0).alias(filler))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """doc_id, source, text and ``_doc``, the whole row: whatever its columns are called, they clash with nothing."""
     row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_doc")

@@ -2,8 +2,9 @@
 
 Rules come first: a rule ``host/path`` fits its host and all subdomains when the path of the url starts with the rule's;
 the longest fitting rule decides. Where none fits, an Aho-Corasick automaton finds the terms of the vocabulary in the url
-with A-Z in lower case. A hit counts only between boundaries: the characters next to it are no ASCII letters or digits.
-One strict term, or ``soft_limit`` distinct soft terms, block the url; anything else is allowed. Forms of one word are one term.
+with A-Z in lower case. A hit counts only between boundaries: the characters next to it are no ASCII letters.
+One strict term blocks the url. Distinct soft terms block it together: each weighs 2, or 1 if it is weak, that is, a word of many ordinary
+addresses too; from ``soft_limit`` on it is blocked. No soft term does it alone. Forms of one word are one term.
 
 Rows are independent: one pass over the url column in Arrow batches, no shuffle, whatever the size of the input.
 
@@ -22,6 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from perilscope.llm.text import bundled
+
 # --- Fixed values: rules of the contract -----------------------------------------------------------
 
 RULES = (
@@ -59,34 +62,42 @@ STRICT = (
     # pharmacy
     "(viagra|viagras)", "cialis", "(levitra|kamagra)", joined("online", "pharmacy pharmacies drugstore drugstores pills meds"),
     # spam and software traps
-    "(warez|nulled)", "(torrent|torrents)", "(phishing|phisher|phishers)", "(malware|malwares)", "(keygen|keygens)",
-    "(spam|spams|spammed|spamming|spammy|spammer|spammers)",
+    "(warez|nulled)", "(torrents)", "(phisher|phishers)", "(malwares)", "(keygen|keygens)", "(spams|spammed|spamming|spammy|spammer|spammers)",
 )
 SOFT = (
     # adult
-    "(adult|adults)", "(sex|sexy)", "(nude|nudes|nudity|nudist|nudists)", "(naked)", "(erotic|erotica|erotics|erotik)",
+    "(sex|sexy)", "(nude|nudes|nudity|nudist|nudists)", "(naked)", "(erotic|erotica|erotics|erotik)",
     "(fetish|fetishes)", "(webcam|webcams|cam|cams)", "(escort|escorting)", "(stripper|strippers|striptease)", "(swinger|swingers)",
     "(hookup|hookups|dating)", "(hooker|hookers|whore|whores|slut|sluts)", "(bdsm|nsfw|onlyfans)", "(boob|boobs|tits)", "(anal)", "(lesbians|shemale|shemales)",
     "(pornographic|pornography)",
     # gambling
-    "(bet|bets|betting|bettor|bettors)", "(bonus|bonuses)", "(gamble|gambles|gambled|gambling|gambler|gamblers)", "(jackpot|jackpots)",
-    "(lottery|lotteries|lotto|lottos)", "(poker|pokers)", "(slot|slots)", "(win|wins|winning|winnings)", "(winner|winners)",
-    "(roulette|roulettes)", "(blackjack|baccarat)", "(bingo|bingos)", "(bookmaker|bookmakers|bookie|bookies)",
-    "(wager|wagers|wagered|wagering)", "(odds)", "(spins|freespins)", "(prize|prizes|sweepstake|sweepstakes)",
+    "(bet|bets|betting|bettor|bettors)", "(gamble|gambles|gambled|gambling|gambler|gamblers)", "(jackpot|jackpots)",
+    "(lottery|lotteries|lotto|lottos)", "(poker|pokers)", "(roulette|roulettes)", "(blackjack|baccarat)", "(bingo|bingos)",
+    "(bookmaker|bookmakers|bookie|bookies)", "(wager|wagers|wagered|wagering)", "(spins|freespins)", "(sweepstake|sweepstakes)",
     # pharmacy
-    "(pill|pills)", "(pharmacy|pharmacies|drugstore|drugstores)", "(meds|drugs)", "(steroid|steroids)",
-    "(sildenafil|tadalafil|phentermine|tramadol|xanax|ambien|oxycontin|valium)", "(weightloss|slimming)",
+    "(pill|pills)", "(drugstore|drugstores)", "(meds)", "(sildenafil|tadalafil|phentermine|tramadol|xanax|ambien|oxycontin|valium)", "(weightloss|slimming)",
     # spam
-    "(cheap|cheaper|cheapest)", "(crack|cracks|cracked)", "(deal|deals)", "(discount|discounts|discounted)", "(farm|farms)",
-    "(free|freebie|freebies)", "(loan|loans|payday)", "(offer|offers)", "(replica|replicas)", "(buy)", "(giveaway|giveaways)",
-    "(scam|scams|scammer|scammers)", "(backlink|backlinks)",
+    "(free|freebie|freebies)", "(payday)", "(replica|replicas)", "(giveaway|giveaways)", "(spam)", "(backlink|backlinks)",
     # adverts
     "(ad|ads|adv|advert|adverts|advertise|advertiser|advertisers|advertising|advertisement|advertisements)",
-    "(adserver|adservers|adserving|adclick|adclicks|doubleclick)", "(banner|banners)", "(click|clicks|clickbait)",
-    "(coupon|coupons|voucher|vouchers)", "(popup|popups|popunder|popunders)", "(promo|promos|promotion|promotions|promotional|promocode|promocodes)",
-    "(sponsor|sponsors|sponsored|sponsoring)", "(track|tracks|tracked|tracking)", "(tracker|trackers)", "(affiliate|affiliates)",
+    "(adserver|adservers|adserving|adclick|adclicks|doubleclick)", "(banner|banners)", "(clickbait)", "(coupon|coupons|voucher|vouchers)",
+    "(popup|popups|popunder|popunders)", "(promocode|promocodes)",
+)
+WEAK = (
+    # adult
+    "(adult|adults)",
+    # gambling
+    "(bonus|bonuses)", "(slot|slots)", "(win|wins|winning|winnings)", "(winner|winners)", "(odds)", "(prize|prizes)",
+    # pharmacy
+    "(pharmacy|pharmacies)", "(drugs)", "(steroid|steroids)",
+    # spam and software traps
+    "(cheap|cheaper|cheapest)", "(crack|cracks|cracked)", "(deal|deals)", "(discount|discounts|discounted)", "(farm|farms)", "(loan|loans)",
+    "(offer|offers)", "(buy)", "(scam|scams|scammer|scammers)", "(torrent)", "(phishing)", "(malware)",
+    # adverts
+    "(click|clicks)", "(promo|promos|promotion|promotions|promotional)", "(sponsor|sponsors|sponsored|sponsoring)", "(track|tracks|tracked|tracking)",
+    "(tracker|trackers)", "(affiliate|affiliates)",
 )
-SOFT_LIMIT = 2
+SOFT_LIMIT = 3
 
 
 @cache
@@ -101,7 +112,7 @@ def automaton(strict: tuple[str, ...], soft: tuple[str, ...]) -> ahocorasick.Aut
 
 
 def is_solid(char: str) -> bool:
-    return char.isascii() and char.isalnum()
+    return char.isascii() and char.isalpha()
 
 
 def hits(url: str, strict: tuple[str, ...], soft: tuple[str, ...]) -> tuple[set[str], set[str]]:
@@ -136,29 +147,33 @@ def judge(
     rules: tuple[tuple[str, str], ...] = RULES,
     strict: tuple[str, ...] = STRICT,
     soft: tuple[str, ...] = SOFT,
+    weak: tuple[str, ...] = WEAK,
     soft_limit: int = SOFT_LIMIT,
 ) -> DataFrame:
-    """Add host, path, rule (NULL where none fits), n_strict, n_soft (distinct terms) and verdict (allow or block)."""
-    names = ("host", "path", "rule", "n_strict", "n_soft", "verdict")
+    """Add host, path, rule (NULL where none fits), n_strict, n_soft (distinct terms), soft_weight and verdict (allow or block)."""
+    names = ("host", "path", "rule", "n_strict", "n_soft", "soft_weight", "verdict")
+    light = frozenset(weak)
 
     def counts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for urls in batches:
-            found = [hits(u, strict, soft) if u else ((), ()) for u in urls]
-            yield pd.DataFrame(
-                {"n_strict": [len(a) for a, _ in found], "n_soft": [len(b) for _, b in found]}, dtype="int64"
-            )
-
-    counted = F.pandas_udf(counts, "n_strict bigint, n_soft bigint")
+            found = [hits(u, strict, soft + weak) if u else (set(), set()) for u in urls]
+            counted = {
+                "n_strict": [len(a) for a, _ in found],
+                "n_soft": [len(b) for _, b in found],
+                "soft_weight": [2 * len(b) - len(b & light) for _, b in found],
+            }
+            yield pd.DataFrame(counted, dtype="int64")
+
+    counted = F.pandas_udf(counts, "n_strict bigint, n_soft bigint, soft_weight bigint")
     whole = F.translate(F.col(url), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     others = [n for n in pages.columns if n not in names or n == url]
-    row = F.struct(*[F.col(f"`{n}`") for n in others], F.lit(0).alias("_")).alias("_row")  # whatever its columns are called
-    rows = pages.select(row, host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"), whole.alias("_whole"))
+    rows = pages.select(bundled(others).alias("_row"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"), whole.alias("_whole"))
     host, path = F.col("host"), F.col("path")
     longest = sorted(rules, key=lambda r: -len(r[1]))
     rule = F.coalesce(*[F.when(fits(text, host, path), F.lit(text)) for _, text in longest])
     ruled = F.coalesce(*[F.when(fits(text, host, path), F.lit(verdict)) for verdict, text in longest])
     rows = rows.withColumns({"rule": rule, "_ruled": ruled, "_hits": counted(F.col("_whole"))})
-    blocked = (F.col("_hits.n_strict") >= 1) | (F.col("_hits.n_soft") >= soft_limit)
+    blocked = (F.col("_hits.n_strict") >= 1) | (F.col("_hits.soft_weight") >= soft_limit)
     verdict = F.coalesce("_ruled", F.when(blocked, F.lit("block")).otherwise(F.lit("allow")))
     kept = [F.col("_row").getField(n).alias(n) for n in others]
     return rows.select(*kept, "host", "path", "rule", "_hits.*", verdict.alias("verdict"))

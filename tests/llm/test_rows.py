@@ -50,7 +50,7 @@ def test_urls(spark):
 def test_url_columns(spark):
     pages = spark.createDataFrame([(1, "https://casino.net/", "own", "x", 3)], "page_id bigint, url string, rule string, more string, n_soft int")
     judged = url_filter.judge(pages)
-    assert judged.columns == ["page_id", "url", "more", "host", "path", "rule", "n_strict", "n_soft", "verdict"]
+    assert judged.columns == ["page_id", "url", "more", "host", "path", "rule", "n_strict", "n_soft", "soft_weight", "verdict"]
     assert rows_of(judged, "more", "rule", "n_strict", "verdict") == [("x", None, 1, "block")]
     assert url_filter.judge(pages.limit(0)).count() == 0
 
@@ -83,9 +83,31 @@ def test_topics_in_their_forms(spark):
     assert wrong == []
 
 
+# Addresses of authorities, shops, clubs and papers that speak of such things, and names written with digits.
+SPEAKING_OF_IT = (
+    "https://fsa.usda.gov/farm-loan-programs", "https://ftc.gov/how-recognize-phishing", "https://cisa.gov/phishing", "https://microsoft.com/security/malware",
+    "https://fda.gov/drugs/pharmacy", "https://dea.gov/drugs/steroids", "https://nba.com/tracker/winners", "https://books.net/young-adult/winners",
+    "https://recipes.net/spam-fried-rice", "https://torrent.fr/riviere-torrent", "https://bank.net/loans/offers", "https://shop.net/deals/discounts",
+    "https://nobel.net/prize/winners", "https://airport.net/slots", "https://dairy.net/farm/buy", "https://athletics.net/track/winners",
+    "https://parcel.net/tracking/offers", "https://consumer.gov/scams/phishing", "https://clinic.net/steroids", "https://museum.net/naked-truth",
+)
+WITH_DIGITS = ("https://bet365.net/free/12", "https://casino777.net/", "https://free-money-slots77.net/", "https://xxx18.net/", "https://poker24.net/bets")
+
+
+def test_ordinary_words_and_digits(spark):
+    rows = [(0, url) for url in SPEAKING_OF_IT] + [(1, url) for url in WITH_DIGITS]
+    judged = url_filter.judge(spark.createDataFrame(rows, "page_id bigint, url string")).collect()
+    assert [r["url"] for r in judged if r["verdict"] != ("block" if r["page_id"] else "allow")] == []
+
+
+def test_weights_add_up(spark):
+    pages = spark.createDataFrame([("http://a.net/bets/free/win",), ("http://a.net/win/deal",), ("http://a.net/bets",)], "url string")
+    assert [(r["n_soft"], r["soft_weight"], r["verdict"]) for r in url_filter.judge(pages).collect()] == [(3, 5, "block"), (2, 2, "allow"), (1, 2, "allow")]
+
+
 def test_forms_of_a_word_are_one_term():
     assert url_filter.hits("bet/bets/betting", (), ("(bet|bets|betting)",)) == (set(), {"(bet|bets|betting)"})
-    seen = [form for term in url_filter.STRICT + url_filter.SOFT for form in term.strip("()").split("|")]
+    seen = [form for term in url_filter.STRICT + url_filter.SOFT + url_filter.WEAK for form in term.strip("()").split("|")]
     assert len(seen) == len(set(seen)), "a form that two terms share would be counted for one of them only"
 
 
@@ -186,7 +208,7 @@ def test_inner_names_clash_with_nothing(spark):
     pages = spark.createDataFrame([("http://example.org/a", "<p>one two three</p>")], "url string, html string")
     own = pages.withColumns({name: F.lit(f"own {name}") for name in ("_ruled", "_hits", "_main_text", "_row", "_whole", "_", "verdict", "n_chars", "a.b")})
     judged = url_filter.judge(own)
-    assert judged.columns == ["url", "html", "_ruled", "_hits", "_main_text", "_row", "_whole", "_", "n_chars", "a.b", "host", "path", "rule", "n_strict", "n_soft", "verdict"]
+    assert judged.columns == ["url", "html", "_ruled", "_hits", "_main_text", "_row", "_whole", "_", "n_chars", "a.b", "host", "path", "rule", "n_strict", "n_soft", "soft_weight", "verdict"]
     assert judged.first()["_hits"] == "own _hits" and judged.first()["verdict"] == "allow"
     extracted = html_text.extract(own)
     assert extracted.first()["_main_text"] == "own _main_text" and extracted.first()["n_chars"] == len("one two three")
