@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -52,14 +53,17 @@ class Check:
 def run_suite(models: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """One row per check.
 
-    The checked columns of each model are computed once and stored; all row checks of a model then share one pass
-    over that narrow table, and the other checks read it too.
+    The checked columns of a model that is read more than once are computed once and stored; all row checks of a model share one
+    pass over that narrow table, and the other checks read it too.
     """
     wanted: dict[str, set[str]] = {}
     for check in checks:
         for model, column in ((check.model, check.column), *check.reads):
             wanted.setdefault(model, set()).add(column)
-    models = {model: cut_lineage(models[model].select(*sorted(columns))) for model, columns in wanted.items()}
+    readings = Counter(model for check in checks if check.failing for model in {check.model, *(name for name, _ in check.reads)})
+    readings.update({check.model for check in checks if check.row_fails is not None})
+    narrow = {model: models[model].select(*sorted(columns)) for model, columns in wanted.items()}
+    models = {model: cut_lineage(df) if readings[model] > 1 else df for model, df in narrow.items()}
     frames = []
     for model, df in models.items():
         mine = [c for c in checks if c.model == model]
@@ -92,6 +96,11 @@ def related(model: str, column: str, parent: str, parent_column: str, before: in
     return Check(model, column, "relationships", failing=failing, reads=((parent, parent_column),))
 
 
+def fan_out_checks() -> list[Check]:
+    """Joins with lookups must not multiply events: the key is still unique after the last of them."""
+    return [unique("int_events_enriched", "event_id")]
+
+
 def declared_checks(
     cutoffs: Cutoffs = DEFAULT_CUTOFFS,
     types: Sequence[str] | None = None,

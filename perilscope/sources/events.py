@@ -160,6 +160,7 @@ MANIFEST = T.StructType(
         T.StructField("file_name", T.StringType()),
         T.StructField("bytes", T.LongType()),
         T.StructField("rows", T.LongType()),
+        T.StructField("event_ids", T.LongType()),
         T.StructField("checksum", T.LongType()),
     ]
 )
@@ -171,7 +172,7 @@ def manifest_of(table: str) -> str:
 
 
 def read_manifest(spark: SparkSession, table: str) -> DataFrame:
-    """(year, file_name, bytes, rows, checksum) of the years that were loaded to the end; none for a new table."""
+    """(year, file_name, bytes, rows, event_ids, checksum) of the years that were loaded to the end; none for a new table."""
     try:
         return spark.read.schema(MANIFEST).parquet(manifest_of(table))
     except AnalysisException as error:
@@ -181,10 +182,11 @@ def read_manifest(spark: SparkSession, table: str) -> DataFrame:
 
 
 def year_sums(table: DataFrame) -> DataFrame:
-    """(year, rows, checksum): the checksum doesn't depend on the order of rows or files."""
+    """(year, rows, event_ids, checksum): distinct EVENT_IDs; the checksum doesn't depend on the order of rows or files."""
     year = F.col("YEAR").cast("bigint").alias("year")
     row = F.xxhash64(*[F.col(f"`{name}`") for name in sorted(table.columns) if name != "YEAR"])
-    return table.select(year, row.alias("h")).groupBy("year").agg(F.count(F.lit(1)).alias("rows"), F.bit_xor("h").alias("checksum"))
+    by_event = table.select(year, "EVENT_ID", row.alias("h")).groupBy("year", "EVENT_ID").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("h").alias("h"))
+    return by_event.groupBy("year").agg(F.sum("n").alias("rows"), F.count("EVENT_ID").alias("event_ids"), F.bit_xor("h").alias("checksum"))
 
 
 def write_manifest(chosen: DataFrame, table: str) -> None:
@@ -195,7 +197,7 @@ def write_manifest(chosen: DataFrame, table: str) -> None:
     spark = chosen.sparkSession
     years = [row["year"] for row in chosen.select("year").collect()]
     stored = spark.read.parquet(table).filter(F.col("YEAR").isin(years))
-    entries = chosen.join(year_sums(stored), "year", "left").fillna(0, ["rows"])
+    entries = chosen.join(year_sums(stored), "year", "left").fillna(0, ["rows", "event_ids"])
     entries.select(*MANIFEST.fieldNames()).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(
         manifest_of(table)
     )
@@ -203,12 +205,21 @@ def write_manifest(chosen: DataFrame, table: str) -> None:
 
 def damaged_years(spark: SparkSession, table: str) -> DataFrame:
     """Loaded years whose stored rows no longer add up to the manifest: year, rows expected and found."""
-    found = year_sums(spark.read.parquet(table)).withColumnsRenamed({"rows": "found", "checksum": "sum"})
+    found = year_sums(spark.read.parquet(table)).drop("event_ids").withColumnsRenamed({"rows": "found", "checksum": "sum"})
     joined = read_manifest(spark, table).join(found, "year", "left")
     same = (F.col("rows") == F.coalesce("found", F.lit(0))) & F.col("checksum").eqNullSafe(F.col("sum"))
     return joined.filter(~same).select("year", "rows", F.coalesce("found", F.lit(0)).alias("found"))
 
 
+def years_with_repeats(spark: SparkSession, table: str) -> DataFrame:
+    """Years in which an event id repeats or is missing: year, rows and event_ids.
+
+    An event is known by its id and year, so the counts that were taken when a year was loaded settle it: only the manifest is read, and a
+    new year never makes the check read the old ones again.
+    """
+    return read_manifest(spark, table).filter(F.col("rows") != F.col("event_ids")).select("year", "rows", "event_ids")
+
+
 def load_events(
     spark: SparkSession,
     folder: str,

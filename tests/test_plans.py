@@ -175,3 +175,15 @@ def test_two_stage_model(fixture):
 def test_modelling_base_excludes_what_it_should(fixture):
     base = enrich.modelling_events(fixture.enriched, CUTOFFS)
     assert base.filter("event_year < 1996 or event_year >= 2001 or region is null or event_type_group is null").isEmpty()
+
+
+def test_fan_out_after_the_population_join_is_found(fixture):
+    """A county that is in the population twice multiplies its events where the lookup isn't reduced to a row per key."""
+    staged = fixture.staged.dropDuplicates(["event_id"])
+    population = fixture.population.unionByName(fixture.population)
+    found = {}
+    for guard in (True, False):
+        enriched = enrich.enrich_events(staged, fixture.groups, fixture.cpi, fixture.regions, population, guard_fanout=guard)
+        found[guard] = quality.run_suite({"int_events_enriched": enriched}, quality.fan_out_checks()).first()
+    assert (found[True]["failures"], found[True]["passed"]) == (0, True)
+    assert found[False]["failures"] > 0 and not found[False]["passed"]

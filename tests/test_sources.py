@@ -87,14 +87,15 @@ def test_manifest_decides_what_is_loaded_again(spark, landed, scratch):
     assert events.load_events(spark, landed, table, current_year=2000) == [1999, 2000]
     noted = {r.year: r for r in events.read_manifest(spark, table).collect()}
     assert {y: (r.rows, "c20210101" in r.file_name) for y, r in noted.items()} == {1999: (2, True), 2000: (1, True)}
-    assert events.damaged_years(spark, table).count() == 0
-    newer, text = details(1999, "20220101", ["9,1,TEXAS,1999,Flood,A,0,1K,newer"])
+    assert events.damaged_years(spark, table).count() == 0 and events.years_with_repeats(spark, table).count() == 0
+    newer, text = details(1999, "20220101", ["9,1,TEXAS,1999,Flood,A,0,1K,newer", "9,1,TEXAS,1999,Flood,B,0,1K,again", ",1,TEXAS,1999,Flood,B,0,1K,no id"])
     write_gz(Path(landed) / newer, text)
     assert events.load_events(spark, landed, table, current_year=2000) == [2000]
     assert events.load_events(spark, landed, table, current_year=2000, reload_changed=True) == [1999, 2000]
     assert events.load_events(spark, landed, table, current_year=2000, reload_changed=True) == [2000]
     noted = {r.year: r for r in events.read_manifest(spark, table).collect()}
-    assert noted[1999].file_name == newer and noted[1999].rows == 1 and len(noted) == 2
+    assert noted[1999].file_name == newer and noted[1999].rows == 3 and len(noted) == 2
+    assert [tuple(r) for r in events.years_with_repeats(spark, table).collect()] == [(1999, 3, 1)]
     spark.read.parquet(table).filter("YEAR = 2000").limit(0).write.mode("overwrite").parquet(f"{table}/YEAR=2000")
     assert [tuple(r) for r in events.damaged_years(spark, table).collect()] == [(2000, 1, 0)]
     assert events.load_events(spark, landed, table, current_year=1999) == [1999, 2000], "a year that is gone from the table is loaded again"

@@ -650,7 +650,9 @@ UNION ALL SELECT 'mart_economic_impact', 'avg_damage_per_event_2024_usd', 'not_n
 UNION ALL SELECT 'mart_surprise_states', 'state', 'not_null', (SELECT count(*) FROM surprise WHERE state IS NULL)
 UNION ALL SELECT 'mart_surprise_states', 'decade', 'not_null', (SELECT count(*) FROM surprise WHERE decade IS NULL)
 UNION ALL SELECT 'mart_surprise_states', 'is_surprise_state', 'not_null',
-     (SELECT count(*) FROM surprise WHERE is_surprise_state IS NULL)"""
+     (SELECT count(*) FROM surprise WHERE is_surprise_state IS NULL)
+UNION ALL SELECT 'int_events_enriched', 'event_id', 'unique',
+     (SELECT count(*) FROM (SELECT event_id FROM enr GROUP BY 1 HAVING count(*) > 1))"""
 
 
 @query(
@@ -662,8 +664,9 @@ def quality_suite(f: Fixture) -> DataFrame:
         "stg_storm_events": f.staged,
         "stg_cpi_deflator": f.cpi,
         **marts.build_marts(f.enriched, CUTOFFS),
+        "int_events_enriched": f.enriched,
     }
-    return quality.run_suite(models, quality.declared_checks(CUTOFFS, list(GROUP_OF_TYPE)))
+    return quality.run_suite(models, [*quality.declared_checks(CUTOFFS, list(GROUP_OF_TYPE)), *quality.fan_out_checks()])
 
 
 @query(
