@@ -7,8 +7,10 @@ parts of both inside links, LC and LT. The density is characters per tag, adjust
 
 The density sum of an element is the sum over its children. The element with the greatest sum marks the page; the least
 density on its path from the body is the threshold. The greatest sum among the elements at or above the threshold is the main
-subtree. It grows over an enclosing article or main element, and leaves out parts that the markup calls something else:
-menus, headers, footers, sidebars, notices, adverts, forms and comments. A name alone never leaves out an article or main
+subtree. Names take no part in that choice: menus, headers and sidebars are measured like any other element.
+
+The chosen subtree grows over an enclosing article or main element. Of what it holds, parts are left out that the markup calls
+something else: menus, headers, footers, sidebars, notices, adverts, forms and comments. A name alone never leaves out an article or main
 element, what holds the main element, or what holds most of the body's text while no article or main stands outside it.
 
 Text has its character references decoded, white space in a block made one space and trimmed; blocks are joined by one space in
@@ -34,10 +36,9 @@ from pyspark.sql import functions as F
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes svg math".split())
-DROPPED = frozenset(
-    "head script style noscript template iframe object embed nav header footer aside form button select option textarea "
-    "input label dialog menu canvas svg math audio video map".split()
-)
+# What is no text of the page, and what is, but stands beside an article.
+DROPPED = frozenset("head script style noscript template iframe object embed button select textarea canvas svg math audio video map".split())
+ASIDE = frozenset("nav header footer aside form option input label dialog menu".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup "
     "time tt u var wbr img".split()
@@ -84,10 +85,11 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "parts", "beside", "named", "own", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "parts", "dropped", "beside", "named", "own", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Element | None, beside: bool, named: bool = False):
-        self.tag, self.parent, self.beside, self.named = tag, parent, beside, named
+    def __init__(self, tag: str, parent: Element | None, dropped: bool, named: bool = False):
+        self.tag, self.parent, self.dropped, self.named = tag, parent, dropped, named
+        self.beside = tag in ASIDE
         self.parts: list[Element | str] = []
         self.own = self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
@@ -176,22 +178,28 @@ def without_open(at: Element, tags: set[str]) -> Element:
     return at
 
 
-def in_order(root: Element) -> list[Element]:
+def inside(node: Element, aside: bool = True) -> list[Element]:
+    """The elements of a node that hold text of the page; without ``aside``, also of the article."""
+    return [p for p in node.parts if isinstance(p, Element) and not p.dropped and (aside or not p.beside)]
+
+
+def in_order(root: Element, aside: bool = True) -> list[Element]:
     """All elements, parents first; no recursion, so depth doesn't matter."""
     found, stack = [], [root]
     while stack:
         node = stack.pop()
         found.append(node)
-        stack.extend(p for p in reversed(node.parts) if isinstance(p, Element) and not p.beside)
+        stack.extend(reversed(inside(node, aside)))
     return found
 
 
 def settle(root: Element) -> Element:
     """Decide which elements with a name from beside the article are left out."""
-    nodes = in_order(root)
-    for node in reversed(nodes):
+    for node in in_order(root):
         node.own = sum(len(WHITE.sub("", p)) for p in node.parts if isinstance(p, str))
-        node.chars = node.own + sum(p.chars for p in node.parts if isinstance(p, Element) and not p.beside)
+    nodes = in_order(root, aside=False)
+    for node in reversed(nodes):
+        node.chars = node.own + sum(p.chars for p in inside(node, aside=False))
     if not any(node.named for node in nodes):
         return root
     # Articles outside of any such element: in all, and on the path to each node.
@@ -213,16 +221,15 @@ def settle(root: Element) -> Element:
 
 
 def measure(root: Element) -> list[Element]:
-    """Set counts, densities and density sums; the elements, parents first, without parts beside the article."""
+    """Set counts, densities and density sums of all elements, whatever they are called; the elements, parents first."""
     nodes = in_order(root)
     for node in reversed(nodes):
         node.chars = node.own
-        for child in node.parts:
-            if isinstance(child, Element) and not child.beside:
-                node.chars += child.chars
-                node.tags += child.tags + 1
-                node.link_chars += child.link_chars
-                node.link_tags += child.link_tags + (child.tag == "a")
+        for child in inside(node):
+            node.chars += child.chars
+            node.tags += child.tags + 1
+            node.link_chars += child.link_chars
+            node.link_tags += child.link_tags + (child.tag == "a")
         if node.tag == "a":
             node.link_chars, node.link_tags = node.chars, node.tags
     share = root.link_chars / max(root.chars, 1)
@@ -231,7 +238,7 @@ def measure(root: Element) -> list[Element]:
         base = math.log(c * node.link_chars / max(c - node.link_chars, 1) + share * c + math.e)
         # The logarithm of the base is 0 without any link; the limit below keeps it from dividing by zero.
         node.density = c / t * math.log(max(c * t / (lc * lt), 1.0)) / max(math.log(base), 1e-3)
-        node.total = sum(p.density for p in node.parts if isinstance(p, Element) and not p.beside)
+        node.total = sum(p.density for p in inside(node))
     return nodes
 
 
@@ -271,7 +278,7 @@ def text_of(root: Element) -> str:
             end_block()
         elif isinstance(part, str):
             current.append(part)
-        elif part is root or not part.beside:
+        elif part is root or not (part.dropped or part.beside):
             if part.tag not in INLINE:
                 end_block()
                 stack.append(None)

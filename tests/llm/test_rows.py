@@ -220,3 +220,59 @@ def test_inner_names_clash_with_nothing(spark):
     found = language.identify(rows, langs, shares)
     assert len(set(found.columns)) == len(found.columns) and found.columns[-2:] == ["lang", "confidence"]
     assert (found.first()["lang"], found.first()["_own"], found.first()["a.b"]) == ("x", "own", "own a.b")
+
+
+def nameless(html):
+    """The page with plain elements only: no article, menu or footer elements, no classes, ids or roles."""
+    import re
+
+    html = re.sub(r"<(/?)(article|nav|aside|header|footer|main|section|form|menu)\b[^>]*>", r"<\1div>", html)
+    return re.sub(r"""\s(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", "", html)
+
+
+def token_f1(a, b):
+    from collections import Counter
+
+    a, b = Counter(a.split()), Counter(b.split())
+    return 2 * sum((a & b).values()) / max(sum(a.values()) + sum(b.values()), 1)
+
+
+def test_density_alone_finds_most_of_the_text(spark):
+    """Without any name to go by, the chosen subtree is nearly the text; the whole body is not."""
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").orderBy("page_id").collect()]
+    by_density, whole = [], []
+    for page in pages:
+        want, plain = html_text.main_text(page), nameless(page)
+        by_density.append(token_f1(want, html_text.main_text(plain)))
+        whole.append(token_f1(want, html_text.text_of(html_text.settle(html_text.parse(plain)))))
+    assert sum(by_density) / len(pages) >= 0.98 and sum(f == 1 for f in by_density) >= 0.88 * len(pages)
+    assert sum(whole) / len(pages) < 0.95 and sum(f == 1 for f in whole) < sum(f == 1 for f in by_density)
+
+
+def plain_density(node, root_share):
+    """Characters, tags, the same inside links, density and density sum of a node, by recursion over the definition."""
+    import math
+
+    chars, tags, link_chars, link_tags, total = len("".join("".join(p for p in node.parts if isinstance(p, str)).split())), 0, 0, 0, 0.0
+    for child in (p for p in node.parts if not isinstance(p, str)):
+        c, t, lc, lt, density, _ = plain_density(child, root_share)
+        chars, tags, link_chars, link_tags = chars + c, tags + t + 1, link_chars + lc, link_tags + lt + (child.tag == "a")
+        total += density
+    if node.tag == "a":
+        link_chars, link_tags = chars, tags
+    base = math.log(chars * link_chars / max(chars - link_chars, 1) + root_share * chars + math.e)
+    ratio = max(chars * max(tags, 1) / (max(link_chars, 1) * max(link_tags, 1)), 1)
+    return chars, tags, link_chars, link_tags, chars / max(tags, 1) * math.log(ratio) / max(math.log(base), 1e-3), total
+
+
+def test_densities_match_the_definition():
+    page = f"<body><div>{MENU}</div><div><div>{ARTICLE}</div><div>Some more <a href=y>linked words</a> here</div></div><p>Foot</p></body>"
+    root = html_text.settle(html_text.parse(page))
+    nodes = html_text.measure(root)
+    share = root.link_chars / root.chars
+    for node in nodes:
+        c, t, lc, lt, density, total = plain_density(node, share)
+        assert (node.chars, node.tags, node.link_chars, node.link_tags) == (c, t, lc, lt)
+        assert node.density == pytest.approx(density) and node.total == pytest.approx(total)
+    text = html_text.text_of(html_text.main_part(root))
+    assert text.startswith(TEXT) and "Menu" not in text and "Foot" not in text
