@@ -24,7 +24,15 @@ raw AS (
          CASE WHEN l_discount >= 0.05 THEN q || 'K' ELSE '0' END AS damage_crops,
          CASE WHEN l_returnflag <> 'N' THEN l_extendedprice / 1000 END AS magnitude,
          CASE WHEN p_type = 'MEDIUM' THEN CASE WHEN l_linenumber = 7 THEN 'EFU'
-              ELSE (CASE WHEN l_linenumber % 2 = 0 THEN 'EF' ELSE 'F' END) || (l_linenumber % 6) END END AS f_scale
+              ELSE (CASE WHEN l_linenumber % 2 = 0 THEN 'EF' ELSE 'F' END) || (l_linenumber % 6) END END AS f_scale,
+         CAST(n_nationkey AS VARCHAR) AS state_fips,
+         CASE WHEN l_linenumber = 2 THEN q % 3 END AS injuries_beside, CASE WHEN l_linenumber = 3 THEN q % 2 END AS deaths_beside,
+         CASE WHEN p_type = 'MEDIUM' THEN (q // 10) || '.5' END AS tor_length,
+         CASE WHEN p_type = 'MEDIUM' THEN CASE WHEN l_linenumber = 5 THEN 'wide' ELSE CAST(q AS VARCHAR) END END AS tor_width,
+         CASE WHEN l_returnflag = 'A' THEN 'EG' WHEN l_returnflag <> 'N' THEN 'MG' END AS magnitude_type,
+         CASE WHEN p_type = 'STANDARD' THEN CAST(l_linenumber % 5 + 1 AS VARCHAR) END AS category,
+         'Episode ' || l_suppkey AS episode_narrative,
+         CASE WHEN l_linenumber % 2 = 1 THEN 'Event ' || l_orderkey || ', "seen"' END AS event_narrative
   FROM (SELECT *, CAST(floor(l_quantity) AS BIGINT) AS q FROM lineitem) l
   JOIN orders ON l_orderkey = o_orderkey
   JOIN customer ON o_custkey = c_custkey
@@ -57,7 +65,10 @@ stg AS (
          {damage_sql('damage_property')} AS property_damage_usd,
          {damage_sql('damage_crops')} AS crop_damage_usd,
          f_scale AS tornado_f_scale, magnitude,
-         coalesce(event_year < 1996, FALSE) AS is_pre_standardization
+         coalesce(event_year < 1996, FALSE) AS is_pre_standardization,
+         state_fips, coalesce(injuries_beside, 0) AS injuries_indirect, coalesce(deaths_beside, 0) AS deaths_indirect,
+         TRY_CAST(tor_length AS DOUBLE) AS tornado_length_miles, TRY_CAST(tor_width AS DOUBLE) AS tornado_width_yards,
+         magnitude_type, TRY_CAST(category AS DOUBLE) AS hurricane_category, episode_narrative, event_narrative
   FROM raw
 )"""
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from perilscope.operators import anomaly, models, resample
 from perilscope.operators import features as ft
 from perilscope.operators.scaling import fit_scaling, scale
-from perilscope.plans import study
+from perilscope.plans import enrich, study
 from perilscope.session import cut_lineage, shared_folder
 from perilscope.sources import events as event_files
 from verification.base_sql import with_parts
@@ -23,6 +23,28 @@ from verification.relational import query
 from verification.statistics import STATE_MONTH_FEATURES, state_months
 
 
+STAGED = """event_id, noaa_event_id, noaa_episode_id, event_year, event_month, begin_datetime, end_datetime, state, state_fips,
+county_zone_name, county_zone_type, event_type_raw, weather_forecast_office, injuries_direct, injuries_indirect, deaths_direct, deaths_indirect,
+property_damage_usd, crop_damage_usd, tornado_f_scale, tornado_length_miles, tornado_width_yards, magnitude, magnitude_type,
+hurricane_category, episode_narrative, event_narrative, is_pre_standardization"""
+
+
+def plain_times(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("begin_datetime", "end_datetime")})
+
+
+@query("staging_all_columns", with_parts("stg", then=f"SELECT {STAGED} FROM stg"))
+def staging_all_columns(f: Fixture) -> DataFrame:
+    """All 28 columns of staging, with track sizes, categories, indirect casualties and narratives."""
+    return plain_times(f.staged_full)
+
+
+@query("join_all_columns", with_parts("enr", then=f"SELECT {', '.join(enrich.ENRICHED_COLUMNS)} FROM enr"))
+def join_all_columns(f: Fixture) -> DataFrame:
+    """All 39 columns of the enriched events."""
+    return plain_times(enrich.enrich_events(f.staged_full, f.groups, f.cpi, f.regions, f.population))
+
+
 @query(
     "model_logistic_optimum",
     with_parts("scored", then="""

@@ -26,7 +26,10 @@ l_shipdate""".split()
 FIXTURE_REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 
 
-def raw_events(line: DataFrame, orders: DataFrame, customer: DataFrame, nation: DataFrame, part: DataFrame) -> DataFrame:
+def raw_events(
+    line: DataFrame, orders: DataFrame, customer: DataFrame, nation: DataFrame, part: DataFrame, every_column: bool = False
+) -> DataFrame:
+    """Lines as raw events; ``every_column`` also fills the columns that most queries leave empty."""
     line = line.select(*LINE_COLUMNS)
     joined = (
         line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -42,7 +45,7 @@ def raw_events(line: DataFrame, orders: DataFrame, customer: DataFrame, nation:
         threshold = F.when(F.col("p_type") == kind, level).otherwise(threshold)
     month = F.element_at(F.array(*[F.lit(m) for m in MONTHS]), F.month("l_shipdate"))
     begin = F.upper(F.date_format("l_shipdate", "dd-MMM-yy HH:mm:ss"))
-    adapted = joined.select(
+    filled = [
         F.col("l_orderkey").cast("string").alias("EVENT_ID"),
         F.col("l_suppkey").cast("string").alias("EPISODE_ID"),
         F.year("l_shipdate").alias("YEAR"),
@@ -75,8 +78,22 @@ def raw_events(line: DataFrame, orders: DataFrame, customer: DataFrame, nation:
                 F.concat(F.when(number % 2 == 0, "EF").otherwise("F"), (number % 6).cast("string"))
             ),
         ).alias("TOR_F_SCALE"),
-    )
-    return conform(adapted, RAW_EVENTS)
+    ]
+    if not every_column:
+        return conform(joined.select(*filled), RAW_EVENTS)
+    tornado, returned = F.col("p_type") == "MEDIUM", F.col("l_returnflag")
+    more = [
+        F.col("n_nationkey").cast("string").alias("STATE_FIPS"),
+        F.when(number == 2, quantity % 3).alias("INJURIES_INDIRECT"),
+        F.when(number == 3, quantity % 2).alias("DEATHS_INDIRECT"),
+        F.when(tornado, F.concat(F.floor(quantity / 10).cast("string"), F.lit(".5"))).alias("TOR_LENGTH"),
+        F.when(tornado, F.when(number == 5, "wide").otherwise(q)).alias("TOR_WIDTH"),
+        F.when(returned == "A", "EG").when(returned != "N", "MG").alias("MAGNITUDE_TYPE"),
+        F.when(F.col("p_type") == "STANDARD", (number % 5 + 1).cast("string")).alias("CATEGORY"),
+        F.concat(F.lit("Episode "), F.col("l_suppkey").cast("string")).alias("EPISODE_NARRATIVE"),
+        F.when(number % 2 == 1, F.concat(F.lit("Event "), F.col("l_orderkey").cast("string"), F.lit(', "seen"'))).alias("EVENT_NARRATIVE"),
+    ]
+    return conform(joined.select(*filled, *more), RAW_EVENTS)
 
 
 def raw_prices(spark: SparkSession) -> DataFrame:
@@ -134,6 +151,11 @@ class Fixture:
     def raw(self) -> DataFrame:
         return raw_events(*[self.table(t) for t in ("lineitem", "orders", "customer", "nation", "part")])
 
+    @cached_property
+    def staged_full(self) -> DataFrame:
+        raw = raw_events(*[self.table(t) for t in ("lineitem", "orders", "customer", "nation", "part")], every_column=True)
+        return staging.stage_events(raw, CUTOFFS)
+
     @cached_property
     def staged(self) -> DataFrame:
         return staging.stage_events(self.raw, CUTOFFS)
