@@ -13,12 +13,16 @@ from pyspark.sql import functions as F
 from perilscope.operators import anomaly, models, resample
 from perilscope.operators import features as ft
 from perilscope.operators.scaling import fit_scaling, scale
-from perilscope.plans import enrich, study
+from perilscope.plans import enrich, marts, study
+from perilscope.plans.marts import DOMINANT_FALLBACK, DOMINANT_ORDER
 from perilscope.session import cut_lineage, shared_folder
 from perilscope.sources import events as event_files
+from perilscope.sources import seeds
+from perilscope.vocab import EVENT_GROUPS, TYPE_GROUP_ROWS
 from verification.base_sql import with_parts
 from verification.fixture import Fixture
 from verification.modelling import SETUP, scored
+from verification.readers import NUMBERED_TYPES, rows_sql
 from verification.relational import query
 from verification.statistics import STATE_MONTH_FEATURES, state_months
 
@@ -45,6 +49,36 @@ def join_all_columns(f: Fixture) -> DataFrame:
     return plain_times(enrich.enrich_events(f.staged_full, f.groups, f.cpi, f.regions, f.population))
 
 
+def _order_sql(column: str, names: tuple[str, ...]) -> str:
+    return f"CASE {column} " + " ".join(f"WHEN '{name}' THEN {k}" for k, name in enumerate(names)) + f" ELSE {len(names)} END"
+
+
+EXACT_ORDER = (*DOMINANT_ORDER, *[g for g in EVENT_GROUPS if g not in DOMINANT_ORDER])
+
+
+@query(
+    "aggregate_every_group_wins",
+    f"""WITH t(k, raw, grp) AS (VALUES {rows_sql(NUMBERED_TYPES)}),
+e AS (SELECT CAST(l_suppkey % 44 AS BIGINT) AS place, CASE WHEN l_linenumber <= 3 THEN list_extract({list(EVENT_GROUPS)}, CAST(l_suppkey % 11 + 1 AS INTEGER)) ELSE grp END AS g
+      FROM lineitem JOIN t ON CAST(t.k AS BIGINT) = l_partkey % {len(TYPE_GROUP_ROWS)}),
+n AS (SELECT place, g, count(*) AS c FROM e GROUP BY 1, 2),
+best AS (SELECT place, max(c) AS top FROM n GROUP BY 1),
+ties AS (SELECT n.*, {_order_sql("g", EXACT_ORDER)} AS o FROM n JOIN best USING (place) WHERE c = top)
+SELECT place, max(c) AS top, arg_min(g, o) AS exact, CASE WHEN min(o) < {len(DOMINANT_ORDER)} THEN arg_min(g, o) ELSE '{DOMINANT_FALLBACK}' END AS dominant
+FROM ties GROUP BY 1""",
+)
+def aggregate_every_group_wins(f: Fixture) -> DataFrame:
+    """All 61 types and 11 groups; each group leads in some places, where the published rule and the true mode differ."""
+    raw = F.element_at(F.array(*[F.lit(name) for name, _ in TYPE_GROUP_ROWS]), (F.col("l_partkey") % len(TYPE_GROUP_ROWS) + 1).cast("int"))
+    lines = f.table("lineitem").select((F.col("l_suppkey") % 44).cast("bigint").alias("place"), "l_linenumber", raw.alias("event_type_raw"))
+    events = enrich.attach_groups(lines, seeds.type_groups(f.spark))
+    favourite = F.element_at(F.array(*[F.lit(g) for g in EVENT_GROUPS]), (F.col("place") % 11 + 1).cast("int"))
+    group = F.when(F.col("l_linenumber") <= 3, favourite).otherwise(F.col("event_type_group"))
+    counts = events.withColumn("g", group).groupBy("place").agg(*marts.group_counts(F.col("g")))
+    top = F.greatest(*[F.col(f"n_{g}") for g in EVENT_GROUPS]).alias("top")
+    return counts.select("place", top, marts.dominant_group("exact").alias("exact"), marts.dominant_group().alias("dominant"))
+
+
 @query(
     "model_logistic_optimum",
     with_parts("scored", then="""
