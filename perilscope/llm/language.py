@@ -196,8 +196,20 @@ def declared_language(html: Column) -> Column:
     return F.nullif(F.lower(found), F.lit(""))
 
 
+# --- Fixed values: the language most people of a country use, by its address suffix -----------------
+
+# Countries without such a language (Belgium, Switzerland) and suffixes sold to anyone (.co, .io, .tv, .me) say
+# nothing. A suffix is no language code: .ar, .sv, .et, .ca and others would name a wrong one.
+SUFFIX_LANGUAGES = {
+    "de": "de at li", "fr": "fr mc", "en": "uk us au nz ie ca za", "es": "es mx ar cl pe ve ec gt cu bo do hn py sv ni cr pa uy",
+    "pt": "pt br", "it": "it sm va", "nl": "nl", "pl": "pl", "ru": "ru", "sv": "se", "da": "dk", "no": "no", "fi": "fi", "cs": "cz", "sk": "sk",
+    "hu": "hu", "ro": "ro", "el": "gr", "tr": "tr", "uk": "ua", "bg": "bg", "hr": "hr", "sl": "si", "et": "ee", "lt": "lt", "lv": "lv",
+    "ja": "jp", "zh": "cn", "ko": "kr", "he": "il", "fa": "ir", "vi": "vn", "th": "th", "id": "id",
+}
+
+
 def address_language(host: Column, path: Column) -> Column:
-    """The last label of the host, or the first path segment, when it has two letters; the path goes first."""
-    segment = F.regexp_extract(path, r"^/([a-z]{2})(?:/|$)", 1)
-    suffix = F.regexp_extract(host, r"\.([a-z]{2})$", 1)
-    return F.coalesce(F.nullif(segment, F.lit("")), F.nullif(suffix, F.lit("")))
+    """The language of the first path segment, when that has two letters, or else of the country of the host's suffix."""
+    segment = F.nullif(F.regexp_extract(path, r"^/([a-z]{2})(?:/|$)", 1), F.lit(""))
+    pairs = [F.lit(text) for lang, suffixes in SUFFIX_LANGUAGES.items() for suffix in suffixes.split() for text in (suffix, lang)]
+    return F.coalesce(segment, F.try_element_at(F.create_map(*pairs), F.regexp_extract(host, r"\.([a-z]{2})$", 1)))

@@ -132,6 +132,16 @@ def test_declared_and_address(spark):
     assert [tuple(r) for r in found] == [("fr", "en"), ("de", "fr"), (None, None), (None, None)]
 
 
+def test_suffixes_are_countries(spark):
+    hosts = {"a.at": "de", "b.a.mx": "es", "a.co.uk": "en", "a.br": "pt", "a.ca": "en", "a.ar": "es", "a.sv": "es", "a.se": "sv", "a.be": None, "a.ch": None,
+             "a.io": None, "a.com": None, "at": None, "": None, None: None}
+    frame = spark.createDataFrame([(h,) for h in hosts], "host string")
+    found = {r["host"]: r["l"] for r in frame.select("host", language.address_language(F.col("host"), F.lit("/x")).alias("l")).collect()}
+    assert found == hosts
+    suffixes = " ".join(language.SUFFIX_LANGUAGES.values()).split()
+    assert len(suffixes) == len(set(suffixes))
+
+
 def plain_passes(positive, unlabelled):
     return lambda w: tuple(pu_quality.Sums.read(pu_quality.Sums.of(x, w)) for x in (positive, unlabelled))
 
