@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perilscope.functions.scalars import hash_fraction
@@ -25,7 +25,7 @@ CHUNK = 10_000
 FOUND = "id bigint, other bigint, copies bigint, distance double"
 
 
-def _merged_points(minority: DataFrame, features: Sequence[str]) -> DataFrame:
+def merged_points(minority: DataFrame, features: Sequence[str]) -> DataFrame:
     """Distinct points: id in projection order, coordinates ``x``, copies, projection ``p``, block."""
     merged = minority.groupBy(*features).agg(F.count(F.lit(1)).alias("copies"))
     total = F.lit(0.0)
@@ -103,12 +103,13 @@ def _blocks_within(bounds: DataFrame, radius: DataFrame) -> DataFrame:
     over the block borders (one row per block). Boxes then drop what only looks near along the projection.
     """
     reach = bounds.join(radius, "block")
-    sought = reach.select("block", (F.col("low") - F.col("radius")).alias("from"), (F.col("high") + F.col("radius")).alias("to"))
-    marks = bounds.select(F.col("high").alias("v"), F.lit(1).alias("first"), F.lit(0).alias("last"), F.lit(2).alias("kind"), F.lit(None).cast("bigint").alias("block"))
-    marks = marks.union(bounds.select("low", F.lit(0), F.lit(1), F.lit(0), F.lit(None).cast("bigint")))
+    finite = lambda c: F.greatest(F.least(c, F.lit(1e308)), F.lit(-1e308))  # noqa: E731  a radius may be infinite
+    sought = reach.select("block", finite(F.col("low") - F.col("radius")).alias("from"), finite(F.col("high") + F.col("radius")).alias("to"))
+    none = F.lit(None).cast("bigint")
+    marks = bounds.select(F.col("high").alias("v"), F.lit(1).alias("f"), F.lit(0).alias("l"), F.lit(2).alias("kind"), none.alias("block"))
+    marks = marks.union(bounds.select("low", F.lit(0), F.lit(1), F.lit(0), none))
     marks = marks.union(sought.select("from", F.lit(0), F.lit(0), F.lit(1), "block")).union(sought.select("to", F.lit(0), F.lit(0), F.lit(1), "block"))
-    along = Window.orderBy("v", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counted = marks.withColumns({"first": F.sum("first").over(along), "last": F.sum("last").over(along)})
+    counted = running_sums(cut_lineage(marks), [], "v", {"first": F.col("f"), "last": F.col("l")}, then=["kind"])
     ends = counted.filter("kind = 1").groupBy("block").agg(F.min("first").alias("first"), (F.max("last") - 1).alias("last"))
     runs = ends.select("block", F.explode(F.sequence("first", "last")).alias("other_block"))
     runs = runs.filter(F.abs(F.col("block") - F.col("other_block")) > 1)
@@ -158,7 +159,7 @@ def synthetic_rows(
     points of one merged group are made in chunks, so a heavy group is spread over tasks.
     """
     features = list(features)
-    points = _merged_points(minority, features)
+    points = merged_points(minority, features)
     rows = points.agg(F.sum("copies")).first()[0] or 0
     if wanted <= 0 or rows < 2:
         return minority.select(*[F.col(c).cast("double").alias(c) for c in features]).limit(0)

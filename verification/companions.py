@@ -173,6 +173,35 @@ def smote_counts(f: Fixture) -> DataFrame:
     return grown.groupBy(F.col(study.LABEL).cast("int").alias("label")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "smote_neighbours",
+    """WITH p AS (
+  SELECT CAST(l_quantity AS DOUBLE) AS a, round(CAST(l_discount AS DOUBLE) * 100) AS b, round(CAST(l_tax AS DOUBLE) * 100) AS c,
+         round(CAST(l_extendedprice AS DOUBLE) / 1000) AS d, count(*) AS copies
+  FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber = 7 GROUP BY ALL
+),
+pairs AS (
+  SELECT p.a, p.b, p.c, p.d, p.copies, q.copies AS others,
+         sqrt((p.a - q.a) * (p.a - q.a) + (p.b - q.b) * (p.b - q.b) + (p.c - q.c) * (p.c - q.c) + (p.d - q.d) * (p.d - q.d)) AS dist
+  FROM p, p q
+),
+reach AS (SELECT *, sum(others) OVER (PARTITION BY a, b, c, d ORDER BY dist) AS held FROM pairs)
+SELECT a, b, c, d, max(copies) AS copies, round(min(dist) FILTER (held > 5), 6) AS kth FROM reach GROUP BY 1, 2, 3, 4""",
+)
+def smote_neighbours(f: Fixture) -> DataFrame:
+    """The distance at which each distinct point of a minority has five more rows, against all pairs."""
+    rows = f.table("lineitem").filter("l_returnflag = 'R' AND l_linenumber = 7").select(
+        F.col("l_quantity").cast("double").alias("a"),
+        F.round(F.col("l_discount").cast("double") * 100).alias("b"),
+        F.round(F.col("l_tax").cast("double") * 100).alias("c"),
+        F.round(F.col("l_extendedprice").cast("double") / 1000).alias("d"),
+    )
+    points = resample.merged_points(rows, list("abcd"))
+    near = resample.nearest_points(points, 5).select("id", F.round("kth", 6).alias("kth"))
+    parts = [F.get("x", F.lit(k)).alias(name) for k, name in enumerate("abcd")]
+    return points.join(near, "id").select(*parts, "copies", "kth")
+
+
 LATIN = "Cami\xf3n Condado"
 
 
