@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from perilscope.functions.scalars import lookup, month_number, safe_ratio, tornado_scale
 from perilscope.operators.prefix import quantile_value
@@ -104,8 +105,17 @@ def known(summary: DataFrame, now: bool = False) -> Column:
     row = summary.select(F.struct("*").alias("known"))
     if not now:
         return row.scalar()
-    text, kind = row.select(F.to_json("known").alias("text")).first()[0], row.schema["known"].dataType
-    return F.from_json(F.lit(text), kind)
+    return _literal(row.first()["known"], row.schema["known"].dataType)
+
+
+def _literal(value, kind: T.DataType) -> Column:
+    """A collected value as a constant column of its type."""
+    if isinstance(kind, T.StructType) and value is not None:
+        return F.struct(*[_literal(value[field.name], field.dataType).alias(field.name) for field in kind])
+    if isinstance(kind, T.MapType) and value is not None:
+        pairs = [_literal(*part) for k, v in value.items() for part in ((k, kind.keyType), (v, kind.valueType))]
+        return F.create_map(*pairs).cast(kind)
+    return F.lit(value).cast(kind)
 
 
 def _rate(cell: Column) -> Column:

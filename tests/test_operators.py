@@ -216,7 +216,7 @@ def test_nearest_points_are_exact(spark, monkeypatch, spread):
     rows = [(float(rng.integers(0, 12)), float(rng.integers(0, 5)), float(np.round(rng.normal() * spread))) for _ in range(150)]
     rows += [(1.0, 1.0, 0.0)] * 40
     frame = spark.createDataFrame(rows, "a double, b double, c double")
-    points = resample._merged_points(frame, ["a", "b", "c"])
+    points = resample.merged_points(frame, ["a", "b", "c"])
     near = resample.nearest_points(points, 5).join(points.select("id", "x"), "id").collect()
     expected = brute_neighbours(rows, 5)
     assert len(near) == len(expected)
@@ -228,7 +228,7 @@ def test_nearest_points_are_exact(spark, monkeypatch, spread):
 def test_tied_projections_take_no_more_rounds(spark, monkeypatch):
     monkeypatch.setattr(resample, "BLOCK", 16)
     rows = [(float(i), float(-i)) for i in range(300)]
-    points = resample._merged_points(spark.createDataFrame(rows, "a double, b double"), ["a", "b"])
+    points = resample.merged_points(spark.createDataFrame(rows, "a double, b double"), ["a", "b"])
     calls = []
     compared = resample._compared
     monkeypatch.setattr(resample, "_compared", lambda *a: calls.append(1) or compared(*a))
@@ -284,3 +284,21 @@ def test_running_sum_property(spark, pairs):
     for key in {r.k for r in found}:
         mine = sorted((r for r in found if r.k == key), key=lambda r: (r.v, r.i))
         assert [r.s for r in mine] == list(range(1, len(mine) + 1))
+
+
+def test_a_summary_taken_at_once_gives_the_same_weights(spark):
+    from perilscope.operators import features as ft
+
+    rows = [(k, "ab"[k % 2], None if k % 5 == 0 else k % 3, float(k % 4 == 0)) for k in range(60)]
+    frame = spark.createDataFrame(rows, "id bigint, kind string, place int, label double")
+    lazy = ft.known(ft.label_summary(frame, "label", ["kind", "place"]))
+    taken = ft.known(ft.label_summary(frame, "label", ["kind", "place"]), now=True)
+    found = []
+    for seen in (None, lazy, taken):
+        df = ft.positive_weights(ft.balanced_weights(frame, "label", "w1", seen), "label", "w2", seen)
+        df = ft.danger_weights(df, "kind", "label", "w3", seen)
+        found.append(sorted(tuple(r) for r in ft.target_encode(frame, df, {"kind": "r1", "place": "r2"}, "label", seen).select("id", "w1", "w2", "w3", "r1", "r2").collect()))
+    assert found[0] == found[1] == found[2]
+    positive, of_a = [r for r in rows if r[3]], [r for r in rows if r[1] == "a"]
+    first = found[0][0]
+    assert first[1:] == pytest.approx((60 / (2 * len(positive)), 45 / 15, 45 / 15 * 5, sum(r[3] for r in of_a) / len(of_a), 0.25))
