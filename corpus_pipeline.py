@@ -3,8 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet and read again as the next one's docs.
 All but the last return the columns of ``documents``:
 
-1. quality_rules: documents that fail the base rules, or lose most of their words with frequent lines, go.
-2. near_duplicates: one document of each group stays, the one with the smallest doc_id.
+1. quality_rules: documents that fail the base rules, or keep too few words without the frequent lines of their source, go; the others
+   go on without those lines.
+2. near_duplicates: one document of each group stays, the one with the smallest doc_id; of rows that repeat, one.
 3. decontamination: documents that contain a benchmark item go.
 4. mixture: sources are brought to their target weights in blocks. A document whose blocks are taken p times appears p times, each
    time with the words of that pass; one that no block was drawn from goes.
