@@ -134,9 +134,10 @@ UNION ALL SELECT 'dbt_marts_mart_economic_impact', count(*), sum(total_events) F
 def sink_models_and_views(f: Fixture) -> DataFrame:
     """Two marts stored over older and longer versions, registered as views and read by name."""
     folder = landing(f, "marts")
+    base = marts.mart_base(f.enriched, CUTOFFS)
     models = {
-        "mart_severity_trends": marts.severity_trends(f.enriched, CUTOFFS),
-        "mart_economic_impact": marts.economic_impact(f.enriched, CUTOFFS),
+        "mart_severity_trends": marts.severity_trends(base, CUTOFFS),
+        "mart_economic_impact": marts.economic_impact(base, CUTOFFS),
     }
     for name, df in models.items():
         warehouse.replace_table(df.union(df), f"{folder}/{name}")
