@@ -206,10 +206,12 @@ LATIN = "Cami\xf3n Condado"
 
 
 def _land(f: Fixture, folder: str, rows: DataFrame, name: str, extra: bool) -> None:
-    """One gzip CSV file of that name; Spark names its own files, so the only part is renamed in the shared folder."""
+    """One gzip CSV file of that name; Spark names its own files, so the only part is renamed in the shared folder.
+
+    Only the rows of the file come together in one task: the table is scanned and filtered by many."""
     spark, part = f.spark, f"{shared_folder(f.spark)}/part-{uuid.uuid4().hex}"
     columns = [F.lit("x").alias("NEW_COLUMN"), *rows.columns] if extra else rows.columns
-    writer = rows.select(*columns).coalesce(1).write.option("header", True).option("encoding", "ISO-8859-1").option("escape", '"')
+    writer = rows.select(*columns).repartition(1).write.option("header", True).option("encoding", "ISO-8859-1").option("escape", '"')
     writer.option("compression", "gzip").csv(part)
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path
