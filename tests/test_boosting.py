@@ -76,3 +76,24 @@ def test_tiers_grow_together(rows):
     native = models.with_class(model, rows, "predicted").select("features", "predicted")
     assert native.exceptAll(model.transform(rows).select("features", "prediction")).count() == 0
     assert native.select("predicted").distinct().count() == 3
+
+
+def test_severity_models_take_all_their_rounds(spark, monkeypatch):
+    made = spark.range(400).withColumns({n: hashed(k, 4) for k, n in enumerate(SETUP.feature_names(study.TIER_NUMERIC))})
+    made = made.withColumns({
+        "event_year": F.lit(1997) + F.col("id") % 4, "event_id": F.col("id"), "event_month": F.lit(5), "event_type_group": F.lit("HAIL"),
+        "damage_class": F.col("id") % 4 * 1.0, "fatality_tier": F.element_at(F.array(*map(F.lit, ("NONE", "MINOR", "MASS"))), (F.col("id") % 3 + 1).cast("int")),
+    })
+    asked = []
+
+    def short(fit):
+        def run(*args, rounds, **more):
+            asked.append(rounds)
+            return fit(*args, rounds=1, **more)
+
+        return run
+
+    monkeypatch.setattr(models, "fit_tiers", short(models.fit_tiers))
+    monkeypatch.setattr(models, "fit_boosted", short(models.fit_boosted))
+    study.damage_tier_model(made, SETUP)
+    assert asked == [200]
