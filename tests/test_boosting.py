@@ -96,4 +96,5 @@ def test_severity_models_take_all_their_rounds(spark, monkeypatch):
     monkeypatch.setattr(models, "fit_tiers", short(models.fit_tiers))
     monkeypatch.setattr(models, "fit_boosted", short(models.fit_boosted))
     study.damage_tier_model(made, SETUP)
-    assert asked == [200]
+    study.two_stage_model(made, SETUP)
+    assert asked == [200, 200, 200]
