@@ -39,7 +39,7 @@ def test_same_trees_as_spark(spark, rows):
 
 
 def test_draws_follow_the_cells_not_the_layout(rows):
-    one, other = (models.fit_boosted(df, "y", "w", rounds=3, depth=3) for df in (rows, rows.repartition(5).sortWithinPartitions("w")))
+    one, other = (models.fit_boosted(df, "y", "w", rounds=3, depth=3, counted=True) for df in (rows, rows.repartition(5).sortWithinPartitions("w")))
     whole = boosting.fit(rows, models.boosted("y", "w", 3, 3, 0.1, 42).setSubsamplingRate(1.0), [1.0], "w")[0]
     assert furthest(rows, one, other) < 1e-12
     assert furthest(rows, one, whole) > 1e-3
@@ -48,7 +48,7 @@ def test_draws_follow_the_cells_not_the_layout(rows):
 def test_copies_are_rows_for_every_learner(rows):
     merged = rows.groupBy("features", "y", "w").agg(F.count(F.lit(1)).alias("n"))
     assert merged.count() < rows.count()
-    assert furthest(rows, models.fit_boosted(rows, "y", "w", 3, 3), models.fit_boosted(merged, "y", "w", 3, 3, copies="n")) < 1e-12
+    assert furthest(rows, models.fit_boosted(rows, "y", "w", 3, 3, counted=True), models.fit_boosted(merged, "y", "w", 3, 3, copies="n")) < 1e-12
     assert furthest(rows, models.fit_logistic(rows, "y", "w"), models.fit_logistic(merged, "y", "w", copies="n")) < 1e-4
     held = [models.fit_calibration(df.withColumn("s", F.hash("features") % 7 / 7), "s", "y", n) for df, n in ((rows, None), (merged, "n"))]
     assert list(held[0].predictions) == pytest.approx(list(held[1].predictions))
@@ -64,15 +64,18 @@ def test_many_values_are_cut_by_weight(spark, monkeypatch, most):
 
 def test_labels_and_weights_are_checked(rows):
     with pytest.raises(Exception, match="labels must be 0 or 1"):
-        models.fit_boosted(rows.withColumn("y", F.lit(2.0)), "y", rounds=1)
+        models.fit_boosted(rows.withColumn("y", F.lit(2.0)), "y", rounds=1, counted=True)
     with pytest.raises(Exception, match="weights must not be negative"):
-        models.fit_boosted(rows.withColumn("w", F.lit(None).cast("double")), "y", "w", rounds=1)
+        models.fit_boosted(rows.withColumn("w", F.lit(None).cast("double")), "y", "w", rounds=1, counted=True)
+
+
+def test_other_fits_stay_with_spark(rows):
+    assert furthest(rows, models.boosted("y", "w", 2, 3, 0.1, 42).fit(rows), models.fit_boosted(rows, "y", "w", 2, 3)) == 0
 
 
 def test_tiers_grow_together(rows):
     model = models.fit_tiers(rows, "tier", "w", rounds=3, depth=3)
-    alone = models.fit_boosted(rows.withColumn("tier", (F.col("tier") == 2).cast("double")), "tier", "w", rounds=1, depth=3, step=0.05)
-    assert [len(m.trees) for m in model.models] == [3, 3, 3] and len(alone.trees) == 1
+    assert [len(m.trees) for m in model.models] == [3, 3, 3]
     native = models.with_class(model, rows, "predicted").select("features", "predicted")
     assert native.exceptAll(model.transform(rows).select("features", "prediction")).count() == 0
     assert native.select("predicted").distinct().count() == 3
